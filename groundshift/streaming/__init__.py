@@ -1,0 +1 @@
+"""Empty on purpose: every input here is a bounded table, none is a stream."""
