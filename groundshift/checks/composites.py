@@ -9,7 +9,7 @@ from groundshift.checks.fixtures import view
 from groundshift.checks.registry import query, rs, sql_rs
 from groundshift.functions.radiometry import mask_clouds
 from groundshift.operators import composite as comp
-from groundshift.sources.dims import epochs_df, grid_df, regions_df
+from groundshift.sources.dims import bandmap_df, epochs_df, grid_df, regions_df
 from groundshift.sources.tables import scan_scenes, write_scenes
 from groundshift.session import scratch_path
 
@@ -32,6 +32,23 @@ def scenes_in_region(spark, sf):
     return comp.scenes_by_region(view(spark, sf, "scenes"), regions_df(spark)).select("scene_id", "city")
 
 
+@query(f"""select r.city, r.lon_min, r.lat_min, r.lon_max, r.lat_max, count(s.scene_id) as n_scenes
+  from {{regions}} r left join {{scenes}} s on {MEETS} group by all""")
+def dim_regions(spark, sf):
+    """The region table with the scenes that cover each box."""
+    hits = comp.scenes_by_region(view(spark, sf, "scenes"), regions_df(spark)).groupBy("city").agg(F.count("*").alias("n"))
+    return regions_df(spark).join(hits, "city", "left").select("city", *comp.BOX, F.coalesce("n", F.lit(0)).alias("n_scenes"))
+
+
+@query("""select sensor, red, green, blue, nir, count(scene_id) as n_scenes from (values
+    ('LT05', 'sr_b3', 'sr_b2', 'sr_b1', 'sr_b4'), ('LE07', 'sr_b3', 'sr_b2', 'sr_b1', 'sr_b4'), ('LC08', 'sr_b4', 'sr_b3', 'sr_b2', 'sr_b5')
+  ) b(sensor, red, green, blue, nir) left join {scenes} s on s.collection = b.sensor group by all""")
+def dim_bandmap(spark, sf):
+    """The band map with the scenes of each sensor."""
+    sizes = view(spark, sf, "scenes").groupBy(F.col("collection").alias("sensor")).agg(F.count("*").alias("n"))
+    return bandmap_df(spark).join(sizes, "sensor", "left").select("sensor", *c.BANDS, F.coalesce("n", F.lit(0)).alias("n_scenes"))
+
+
 @query("""select scene_id from {scenes} where lon_min <= -117.20e0 and lon_max >= -117.55e0
   and lat_min <= 34.10e0 and lat_max >= 33.85e0""")
 def scenes_in_box(spark, sf):

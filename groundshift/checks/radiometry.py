@@ -25,6 +25,7 @@ from groundshift.operators.classify import (
     with_threshold,
 )
 from groundshift.operators.composite import assign_epoch
+from groundshift.sources.dims import thresholds_df
 
 RAW = ["sr_b1", "sr_b2", "sr_b3", "sr_b4", "sr_b5"]
 KEY = "city, yr, px_row, px_col"
@@ -149,6 +150,13 @@ def threshold_lookup(spark, sf):
     return with_threshold(view(spark, sf, "px")).select(*c.PIXEL, "threshold")
 
 
+@query("select t.city, t.yr, t.threshold, coalesce(n, 0) as n_pixels from {thr} t left join (select city, yr, count(*) as n from {px} group by city, yr) k on k.city = t.city and k.yr = t.yr")
+def dim_thresholds(spark, sf):
+    """The threshold table with the pixels each entry decides."""
+    sizes = view(spark, sf, "px").groupBy(*c.RASTER).agg(F.count("*").alias("n"))
+    return thresholds_df(spark).join(sizes, c.RASTER, "left").select(*c.RASTER, "threshold", F.coalesce("n", F.lit(0)).alias("n_pixels"))
+
+
 @query(f"select {KEY}, urban_class from {{cls}}")
 def threshold_classify(spark, sf):
     return classified(spark, sf).select(*c.PIXEL, "urban_class")
@@ -161,14 +169,14 @@ def scatter_full(spark, sf):
 
 
 @query("""select city, yr, px_row, n, cast(round(cast(n as decimal(18,0)) * 0.0009, 2) as double) as km2
-  from (select city, yr, px_row, cast(sum(case when urban_class = 1 then 1 else 0 end) as bigint) as n from {cls} group by city, yr, px_row) t""")
+  from (select city, yr, px_row, cast(sum(case when urban_class = 1 then 1 else 0 end) as bigint) as n from {cls} group by city, yr, px_row) t""", name="pixels_to_km2")
 def pixels_to_km2_by_line(spark, sf):
     lines = classified(spark, sf).groupBy("city", "yr", "px_row").agg(F.count_if(F.col("urban_class") == 1).alias("n"))
     return lines.withColumn("km2", pixels_to_km2(F.col("n")))
 
 
 @query(f"""select {KEY}, case when red is null then '—' else
-  cast(cast(round(cast(red * 100 as decimal(24,6)), 1) as decimal(18,1)) as varchar) || '%' end as shown from {{px}}""")
+  cast(cast(round(cast(red * 100 as decimal(24,6)), 1) as decimal(18,1)) as varchar) || '%' end as shown from {{px}}""", name="pct_display")
 def pct_display_pixels(spark, sf):
     return view(spark, sf, "px").select(*c.PIXEL, pct_display(rounded(F.col("red") * 100, 1)).alias("shown"))
 

@@ -12,13 +12,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
 
-def query(check: str | None = None):
-    """Register a function under its own name, with the SQL that must agree with it."""
+def query(check: str | None = None, name: str | None = None):
+    """Register a function, with the SQL that must agree with it."""
 
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        QUERIES[key] = fn
         if check is not None:
-            CHECKS[fn.__name__] = sql(check)
+            CHECKS[key] = sql(check)
         return fn
 
     return register

@@ -34,15 +34,22 @@ def growth(area: DataFrame) -> DataFrame:
     one is not positive.
     """
     order = Window.partitionBy("city").orderBy("yr")
-    prev, now = F.lag("urban_area_km2").over(order), F.col("urban_area_km2")
+    rows = area.select(
+        "city",
+        "yr",
+        "urban_area_km2",
+        F.lag("urban_area_km2").over(order).alias("prev"),
+        F.row_number().over(order).alias("rn"),
+    )
+    prev, now = F.col("prev"), F.col("urban_area_km2")
     usable = (prev > 0) & now.isNotNull()
-    return area.select(
+    return rows.select(
         "city",
         "yr",
         "urban_area_km2",
         F.when(usable, (_exact(now) - _exact(prev)).cast("double")).alias("growth_km2"),
         F.when(usable, rounded(percent_change(prev, now), 1)).alias("growth_pct"),
-        (F.row_number().over(order) == 1).alias("is_baseline"),
+        (F.col("rn") == 1).alias("is_baseline"),
     )
 
 

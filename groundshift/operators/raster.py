@@ -61,28 +61,28 @@ def valid_bbox(classified: DataFrame, nodata: int = c.NODATA) -> DataFrame:
     )
 
 
-def crop_to_valid(classified: DataFrame, pad: int = 10, nodata: int = c.NODATA) -> DataFrame:
-    """Cut each raster to its data plus a margin, and move the origin there.
-
-    A raster without data is returned unchanged.
-    """
-    box = valid_bbox(classified, nodata).select(
+def crop_boxes(classified: DataFrame, pad: int = 10, nodata: int = c.NODATA) -> DataFrame:
+    """Rows ``r0`` to ``r1`` and columns ``c0`` to ``c1`` (ends excluded) that a crop
+    keeps: the box of the data plus a margin, inside the raster. A raster without
+    data keeps its full extent."""
+    return valid_bbox(classified, nodata).select(
         *c.RASTER,
-        F.coalesce(F.greatest(F.col("row_min") - pad, F.lit(0)), F.lit(0)).alias("_r0"),
-        F.least(F.coalesce(F.col("row_max") + pad + 1, "height"), "height").alias("_r1"),
-        F.coalesce(F.greatest(F.col("col_min") - pad, F.lit(0)), F.lit(0)).alias("_c0"),
-        F.least(F.coalesce(F.col("col_max") + pad + 1, "width"), "width").alias("_c1"),
-    )
-    inside = (
-        (F.col("px_row") >= F.col("_r0"))
-        & (F.col("px_row") < F.col("_r1"))
-        & (F.col("px_col") >= F.col("_c0"))
-        & (F.col("px_col") < F.col("_c1"))
+        F.coalesce(F.greatest(F.col("row_min") - pad, F.lit(0)), F.lit(0)).alias("r0"),
+        F.least(F.coalesce(F.col("row_max") + pad + 1, "height"), "height").alias("r1"),
+        F.coalesce(F.greatest(F.col("col_min") - pad, F.lit(0)), F.lit(0)).alias("c0"),
+        F.least(F.coalesce(F.col("col_max") + pad + 1, "width"), "width").alias("c1"),
     )
-    moved = join_small(classified, box, c.RASTER).where(inside)
-    return moved.withColumns(
-        {"px_row": F.col("px_row") - F.col("_r0"), "px_col": F.col("px_col") - F.col("_c0")}
-    ).select(*classified.columns)
+
+
+def _cropped(boxed: DataFrame) -> DataFrame:
+    inside = "px_row >= r0 and px_row < r1 and px_col >= c0 and px_col < c1"
+    return boxed.where(inside).withColumns({"px_row": F.col("px_row") - F.col("r0"), "px_col": F.col("px_col") - F.col("c0")})
+
+
+def crop_to_valid(classified: DataFrame, pad: int = 10, nodata: int = c.NODATA) -> DataFrame:
+    """Cut each raster to its data plus a margin, and move the origin there."""
+    boxed = join_small(classified, crop_boxes(classified, pad, nodata), c.RASTER)
+    return _cropped(boxed).select(*classified.columns)
 
 
 def _targets(at: Column, source: Column, target: Column) -> Column:
@@ -98,18 +98,21 @@ def _targets(at: Column, source: Column, target: Column) -> Column:
     return F.explode(F.when(start < stop, F.sequence(start, stop - 1)).otherwise(empty))
 
 
+def _resampled(sized: DataFrame, height: Column, width: Column, to_width: int) -> DataFrame:
+    to_height = F.floor(F.lit(float(to_width)) * (height / width)).cast("int")
+    rows = sized.withColumn("_row", _targets(F.col("px_row"), height, to_height))
+    cells = rows.withColumn("_col", _targets(F.col("px_col"), width, F.lit(to_width)))
+    return cells.withColumns({"px_row": F.col("_row"), "px_col": F.col("_col")}).drop("_row", "_col")
+
+
 def resample_nearest(px: DataFrame, width: int) -> DataFrame:
     """Nearest-neighbour resample to ``width`` columns and ``int(width * height / width0)`` rows.
 
     Every source pixel emits the target cells it is nearest to, so nothing is
     joined or shuffled but the raster sizes.
     """
-    sized = join_small(px, extent(px), c.RASTER).withColumn(
-        "_h", F.floor(F.lit(float(width)) * (F.col("height") / F.col("width"))).cast("int")
-    )
-    rows = sized.withColumn("_row", _targets(F.col("px_row"), F.col("height"), F.col("_h")))
-    cells = rows.withColumn("_col", _targets(F.col("px_col"), F.col("width"), F.lit(width)))
-    return cells.withColumns({"px_row": F.col("_row"), "px_col": F.col("_col")}).select(*px.columns)
+    sized = join_small(px, extent(px), c.RASTER)
+    return _resampled(sized, F.col("height"), F.col("width"), width).select(*px.columns)
 
 
 def class_to_rgba(df: DataFrame, palette: dict = c.MAP_PALETTE, nodata: int = c.NODATA) -> DataFrame:
@@ -126,12 +129,16 @@ def class_to_rgba(df: DataFrame, palette: dict = c.MAP_PALETTE, nodata: int = c.
 
 
 def timelapse_frames(classified: DataFrame, width: int = 420, years: list[int] = c.YEARS) -> DataFrame:
-    """Cropped, resampled and coloured frames; ``frame`` counts the epochs a city has."""
+    """Cropped, resampled and coloured frames; ``frame`` counts the epochs a city has.
+
+    The boxes are found in one pass; everything else is one narrow pass more.
+    """
     wanted = classified.where(F.col("yr").isin(years))
     order = Window.partitionBy("city").orderBy("yr")
-    frames = wanted.select(*c.RASTER).distinct().withColumn("frame", F.row_number().over(order))
-    pictures = wanted.transform(crop_to_valid).transform(resample_nearest, width).transform(class_to_rgba)
-    return join_small(pictures, frames, c.RASTER)
+    boxed = join_small(wanted, crop_boxes(wanted).withColumn("frame", F.row_number().over(order)), c.RASTER)
+    height, wide = F.col("r1") - F.col("r0"), F.col("c1") - F.col("c0")
+    pictures = _resampled(_cropped(boxed), height, wide, width).select(*classified.columns, "frame")
+    return class_to_rgba(pictures)
 
 
 def pixel_centres(px: DataFrame, regions: DataFrame, step: float = c.STEP_DEGREES) -> DataFrame:
@@ -179,9 +186,19 @@ def stretch_percentile(px: DataFrame, bands: list[str], lo: float = 2, hi: float
     return stretch(px.join(bounds, c.RASTER, "left"), bands, F.col("lo"), F.col("hi")).select(*px.columns)
 
 
-def overlay(px: DataFrame, classified: DataFrame, bands: list[str] = ("red", "green", "blue")) -> DataFrame:
-    """Stretched picture with a translucent colour on urban pixels."""
-    picture = stretch_percentile(px.select(*c.PIXEL, *bands), list(bands))
+def overlay(px: DataFrame, classified: DataFrame | None = None, bands: list[str] = ("red", "green", "blue")) -> DataFrame:
+    """Stretched picture with a translucent colour on urban pixels.
+
+    Without ``classified`` the classes are taken from ``px`` itself, which saves
+    the join of two full rasters.
+    """
+    bands = list(bands)
+    if classified is None:
+        picture = stretch_percentile(px.select(*c.PIXEL, *bands, "urban_class"), bands)
+    else:
+        picture = stretch_percentile(px.select(*c.PIXEL, *bands), bands).join(
+            classified.select(*c.PIXEL, "urban_class"), c.PIXEL
+        )
     urban = F.col("urban_class") == 1
     tint = {f"over_{n}": F.when(urban, F.lit(v)).otherwise(F.lit(0.0)) for n, v in zip("rgba", c.OVERLAY_URBAN)}
-    return picture.join(classified.select(*c.PIXEL, "urban_class"), c.PIXEL).withColumns(tint).drop("urban_class")
+    return picture.withColumns(tint).drop("urban_class")

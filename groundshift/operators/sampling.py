@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from groundshift import config as c
-from groundshift.functions.radiometry import normalized_difference
+from groundshift.functions.radiometry import normalized_difference, present
 from groundshift.operators.small import join_small
 from groundshift.sources.dims import lookup
 
@@ -28,7 +28,8 @@ def standardise_keys(df: DataFrame, city: str | None = None, year: int | None =
 
 
 def cast_features(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({n: F.col(n).try_cast("double") for n in cols})
+    """To double; what is no number, NaN included, becomes NULL."""
+    return df.withColumns({n: present(F.col(n).try_cast("double")) for n in cols})
 
 
 def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -65,8 +66,8 @@ def clean_samples(
 def normalise_samples(df: DataFrame, numeric: list[str]) -> DataFrame:
     """Tidy subclass text, bad numbers to NULL, rows without a year dropped."""
     out = df.withColumn("subclass", F.lower(F.trim("subclass")))
-    out = cast_features(out, numeric).withColumn("yr", F.col("yr").try_cast("double"))
-    return drop_missing(out, ["yr"]).withColumn("yr", F.col("yr").cast("int"))
+    out = cast_features(out, [*numeric, "yr"]).withColumn("yr", F.col("yr").try_cast("int"))
+    return drop_missing(out, ["yr"])
 
 
 def _hash_key(key: str, seed: Column) -> Column:

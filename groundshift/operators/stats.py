@@ -22,7 +22,7 @@ def histogram(df: DataFrame, cols: list[str]) -> DataFrame:
 def histogram_map(df: DataFrame, col: str) -> DataFrame:
     """One row with a map from value to count, for a column with few values."""
     counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("value")).agg(F.count("*").alias("n"))
-    return counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("value", "n")))).alias("histogram"))
+    return counts.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("value", "n")))).alias("histogram"))
 
 
 def label_distribution(df: DataFrame, keys: list[str] = ("city", "yr", "label")) -> DataFrame:

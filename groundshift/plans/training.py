@@ -13,6 +13,9 @@ from groundshift.operators.sampling import balance_downsample, hash_split
 from groundshift.operators.stats import classification_metrics
 
 
+ROWS_PER_TASK = 100_000
+
+
 @dataclass
 class Trained:
     models: dict[str, PipelineModel]
@@ -20,12 +23,23 @@ class Trained:
     predictions: DataFrame
 
 
+def fit_stable(train: DataFrame, key: str, features: list[str]) -> PipelineModel:
+    """Fit on rows placed and ordered by key, so that a rerun, or a task redone
+    after a lost executor, draws the same bootstrap."""
+    parts = 1 + train.count() // ROWS_PER_TASK
+    placed = train.repartition(parts, key).sortWithinPartitions(key).persist()
+    try:
+        return train_rf(placed, features)
+    finally:
+        placed.unpersist()
+
+
 def train_models(clean: DataFrame, key: str = "sample_id", features: list[str] = c.FEATURES, seed: int = 42) -> Trained:
     """One balanced, validated forest per era, from cleaned samples."""
     models, metrics, predictions = {}, [], []
     for era in ERAS:
         parts = hash_split(balance_downsample(in_era(clean, era), seed=seed, key=key), key, seed)
-        models[era] = train_rf(parts.where("part = 'train'").drop("part"), features)
+        models[era] = fit_stable(parts.where("part = 'train'").select(key, *features, "label"), key, features)
         preds = models[era].transform(parts.where("part = 'validation'")).select(key, "label", "prediction")
         metrics.append(classification_metrics(preds).select(F.lit(era).alias("era"), "*"))
         predictions.append(preds.withColumn("era", F.lit(era)))

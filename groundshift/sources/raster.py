@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from groundshift import config as c
 from groundshift.operators.raster import extent
-from groundshift.operators.small import join_small
+from groundshift.operators.small import settle
 
 TILE = [*c.RASTER, "tile_row", "tile_col"]
 
@@ -19,8 +19,8 @@ def pixels_to_tiles(px: DataFrame, bands: list[str], tile: int = 256, nodata=c.N
     does everything.
     """
     kinds = {b: px.schema[b].dataType for b in bands}
-    size = extent(px)
-    sized = join_small(px, size, c.RASTER)
+    size = settle(extent(px))
+    sized = px.join(size, c.RASTER)
 
     def last(n: str) -> Column:
         return F.floor((F.col(n) - 1) / tile).cast("int")
@@ -54,7 +54,7 @@ def pixels_to_tiles(px: DataFrame, bands: list[str], tile: int = 256, nodata=c.N
         holes, lambda p: F.struct(p.alias("pos"), *[F.lit(nodata).cast(kinds[b]).alias(b) for b in bands])
     )
     cell_type = f"array<{pixels.schema['cell'].dataType.simpleString()}>"
-    full = F.array_sort(F.concat(F.col("cells").cast(cell_type), filler.cast(cell_type)))
+    full = F.sort_array(F.concat(F.col("cells").cast(cell_type), filler.cast(cell_type)))
     return packed.withColumn("cells", full).select(*TILE, "tile_h", "tile_w", *[F.col(f"cells.{b}").alias(b) for b in bands])
 
 
@@ -70,13 +70,20 @@ def tiles_to_pixels(tiles: DataFrame, bands: list[str], tile: int = 256) -> Data
     )
 
 
-def write_raster(px: DataFrame, path: str) -> None:
+def write_raster(px: DataFrame, path: str, block: int = 256) -> None:
     """Pixel rows as Parquet, one folder per city and epoch.
 
-    Ranges of the pixel key spread a large raster over many tasks and leave
-    every file with a narrow band of rows.
+    Blocks of lines spread a large raster over many tasks; the sort leaves every
+    row group with a narrow band of lines.
     """
-    px.repartitionByRange(*c.PIXEL).write.partitionBy(*c.RASTER).mode("overwrite").parquet(path)
+    lines = F.floor(F.col("px_row") / block)
+    px.repartition(*c.RASTER, lines).sortWithinPartitions(*c.PIXEL).write.partitionBy(*c.RASTER).mode("overwrite").parquet(path)
+
+
+def write_raster_table(px: DataFrame, name: str, buckets: int) -> None:
+    """Pixel rows as a table bucketed by pixel: joins of two such tables by pixel
+    key need no shuffle."""
+    px.write.bucketBy(buckets, *c.PIXEL).sortBy(*c.PIXEL).mode("overwrite").saveAsTable(name)
 
 
 def read_raster(spark: SparkSession, path: str) -> DataFrame:

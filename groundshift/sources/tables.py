@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -43,13 +45,14 @@ def read_samples_tolerant(spark: SparkSession, paths, required: list[str] = DASH
     )
     layouts: dict[tuple, list[str]] = {}
     for r in first.orderBy("path").toLocalIterator():
-        names = tuple(n.strip().strip('"') for n in (r["header"] or "").split(","))
+        names = tuple(next(csv.reader([r["header"] or ""]), []))
         if set(required) <= set(names) and len(set(names)) == len(names):
             layouts.setdefault(names, []).append(r["path"])
     out = spark.createDataFrame([], ", ".join(f"{n} string" for n in required))
     for names, files in layouts.items():
         schema = ", ".join(f"`{n}` string" for n in names)
-        part = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(files)
+        reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+        part = reader.option("ignoreCorruptFiles", True).csv(files)
         out = out.unionByName(part.select(*required))
     return out
 
