@@ -31,7 +31,7 @@ def differences(df, con, sql: str) -> str | None:
     """None if both sides agree exactly, else what differs."""
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
-    theirs = sorted(cur.fetchall(), key=lambda t: 0) if False else cur.fetchall()
+    theirs = cur.fetchall()
     types = {d[0]: str(d[1]) for d in cur.description}
     cols = sorted(df.columns)
     if cols != sorted(names):
