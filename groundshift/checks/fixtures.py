@@ -27,13 +27,13 @@ select l_orderkey as scene_id,
   date '1989-01-01' + cast((l_orderkey*37 + l_linenumber*911) % 12053 as int) as acq_date,
   cast(l_partkey % 16 as int) as px_row,
   cast(floor(l_partkey / 16) % 16 as int) as px_col,
-  cast(7273 + (cast(round(l_extendedprice*100) as bigint)*1  + l_linenumber*13) % 16000 as int) as sr_b1,
-  cast(7273 + (cast(round(l_extendedprice*100) as bigint)*3  + l_linenumber*29) % 16000 as int) as sr_b2,
-  cast(7273 + (cast(round(l_extendedprice*100) as bigint)*7  + l_linenumber*31) % 16000 as int) as sr_b3,
-  cast(7273 + (cast(round(l_extendedprice*100) as bigint)*11 + l_linenumber*37) % 24000 as int) as sr_b4,
-  cast(7273 + (cast(round(l_extendedprice*100) as bigint)*13 + l_linenumber*41) % 24000 as int) as sr_b5,
+  cast(7273 + (cents*1  + l_linenumber*13) % 16000 as int) as sr_b1,
+  cast(7273 + (cents*3  + l_linenumber*29) % 16000 as int) as sr_b2,
+  cast(7273 + (cents*7  + l_linenumber*31) % 16000 as int) as sr_b3,
+  cast(7273 + (cents*11 + l_linenumber*37) % 24000 as int) as sr_b4,
+  cast(7273 + (cents*13 + l_linenumber*41) % 24000 as int) as sr_b5,
   cast(case l_returnflag when 'R' then 8 when 'A' then (case when l_linenumber % 2 = 0 then 16 else 64 end) else 64 end as int) as qa_pixel
-from {lineitem}""",
+from (select *, cast(round(l_extendedprice*100) as bigint) as cents from {lineitem}) t""",
     # scene metadata with footprint boxes
     "scenes": """
 select o_orderkey as scene_id,
@@ -48,12 +48,12 @@ from {orders}""",
     "px": f"""
 select {_ORDER_PIXEL},
   case when o_orderstatus = 'P' and o_custkey % 3 = 0 then null
-       else cast((cast(round(o_totalprice*100) as bigint) % 1400) - 100 as double) / 1000 end as red,
-  cast(cast(round(o_totalprice*100) as bigint)*3 % 900 as double) / 1000 as green,
-  cast(cast(round(o_totalprice*100) as bigint)*7 % 900 as double) / 1000 as blue,
-  cast((cast(round(o_totalprice*100) as bigint)*11 % 1200) - 50 as double) / 1000 as nir,
+       else cast((cents % 1400) - 100 as double) / 1000 end as red,
+  cast(cents*3 % 900 as double) / 1000 as green,
+  cast(cents*7 % 900 as double) / 1000 as blue,
+  cast((cents*11 % 1200) - 50 as double) / 1000 as nir,
   cast((o_custkey*7919) % 1000 as double) / 1000 as urban_prob
-from {{orders}}""",
+from (select *, cast(round(o_totalprice*100) as bigint) as cents from {{orders}}) t""",
     # the same with one city stored times 10000 and one city without values above 1
     "px10k": """
 select city, yr, px_row, px_col,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -78,11 +79,9 @@ def clip_negatives(df: DataFrame, bands: list[str] = c.BANDS) -> DataFrame:
 
 
 def is_valid(bands: list[str] = c.BANDS) -> Column:
-    """Every band is present and finite."""
-    ok = F.lit(True)
-    for b in bands:
-        ok = ok & F.col(b).isNotNull() & ~F.isnan(b) & (F.abs(F.col(b)) < float("inf"))
-    return ok
+    """Every band is present and finite (NaN sorts above infinity, NULL gives no answer)."""
+    finite = reduce(lambda a, b: a & b, [F.abs(b) < float("inf") for b in bands])
+    return F.coalesce(finite, F.lit(False))
 
 
 def with_valid(df: DataFrame, bands: list[str] = c.BANDS) -> DataFrame:

@@ -19,7 +19,8 @@ def rescale_reflectance(px: DataFrame, bands: list[str] = c.BANDS) -> DataFrame:
     Above 100: stored times 10000, so divide. Above 1: clamp. Otherwise, or
     without a valid pixel, unchanged.
     """
-    tops = px.where(is_valid(bands)).groupBy(*c.RASTER).agg(*[F.max(b).alias(f"_top_{b}") for b in bands])
+    valid = is_valid(bands)
+    tops = px.groupBy(*c.RASTER).agg(*[F.max(F.when(valid, F.col(b))).alias(f"_top_{b}") for b in bands])
     joined = join_small(px, tops, c.RASTER, "left")
 
     def fixed(b: str) -> Column:
@@ -69,24 +70,28 @@ def nonempty_rasters(px: DataFrame, bands: list[str] = c.BANDS) -> DataFrame:
     return coverage(px, bands).where(F.col("n_valid") > 0)
 
 
-def _spread(name: str, out: str | None = None) -> list[Column]:
-    """Minimum, maximum, mean and population deviation."""
-    out = out or name
-    return [
-        F.min(name).alias(f"{out}_min"),
-        F.max(name).alias(f"{out}_max"),
-        F.avg(name).alias(f"{out}_mean"),
-        F.stddev_pop(name).alias(f"{out}_std"),
-    ]
+def _spread_of_valid(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Minimum, maximum, mean and population deviation per raster over valid pixels;
+    no row for a raster without any."""
+    aggs = [F.count_if("valid").alias("_n")]
+    for name, out in names.items():
+        v = F.when(F.col("valid"), F.col(name))
+        aggs += [
+            F.min(v).alias(f"{out}_min"),
+            F.max(v).alias(f"{out}_max"),
+            F.avg(v).alias(f"{out}_mean"),
+            F.stddev_pop(v).alias(f"{out}_std"),
+        ]
+    return df.groupBy(*c.RASTER).agg(*aggs).where("_n > 0").drop("_n")
 
 
 def band_stats(px: DataFrame, bands: list[str] = c.FEATURES) -> DataFrame:
-    """Population statistics of prepared bands over the valid pixels of each raster."""
-    return px.where("valid").groupBy(*c.RASTER).agg(*[s for b in bands for s in _spread(b)])
+    """Statistics of prepared bands per raster."""
+    return _spread_of_valid(px, {b: b for b in bands})
 
 
 def prob_stats(scored: DataFrame, prob: str = "urban_prob") -> DataFrame:
-    return scored.where("valid").groupBy(*c.RASTER).agg(*_spread(prob, "prob"))
+    return _spread_of_valid(scored, {prob: "prob"})
 
 
 def class_counts(classified: DataFrame) -> DataFrame:
