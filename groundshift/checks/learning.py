@@ -11,34 +11,34 @@ from groundshift.checks.registry import query, r
 from groundshift.checks.samples import SM, samples
 from groundshift.operators import model as m
 from groundshift.operators.classify import class_counts, classify_rasters
-from groundshift.plans.training import train_models
+from groundshift.plans.training import train_era, train_models
 from groundshift.session import scratch_path
 
 
-def trained(spark, sf):
-    return train_models(samples(spark, sf).dropna(subset=c.FEATURES))
+def complete(spark, sf):
+    return samples(spark, sf).dropna(subset=c.FEATURES)
 
 
 @query("select sample_id, " + ", ".join(f"round({f}, 9) + 0.0 as f{i}" for i, f in enumerate(c.FEATURES)) + f" from {SM} t where ndvi is not null")
 def assemble(spark, sf):
-    rows = m.assembler().transform(samples(spark, sf).dropna(subset=c.FEATURES))
+    rows = m.assembler().transform(complete(spark, sf))
     array = rows.select("sample_id", vector_to_array("features").alias("v"))
     return array.select("sample_id", *[r(F.col("v")[i]).alias(f"f{i}") for i in range(len(c.FEATURES))])
 
 
 @query()
 def rf_train_eval(spark, sf):
-    return trained(spark, sf).metrics
+    return train_models(complete(spark, sf)).metrics
 
 
 @query()
 def feature_importance(spark, sf):
-    return m.feature_importance(trained(spark, sf).models["legacy"])
+    return m.feature_importance(train_era(complete(spark, sf), "legacy").models["legacy"])
 
 
 @query()
 def rf_score(spark, sf):
-    models = trained(spark, sf).models
+    models = train_models(complete(spark, sf)).models
     scored = classify_rasters(view(spark, sf, "px10k").drop("urban_prob"), lambda df: m.score_by_era(df, models))
     return class_counts(scored)
 
@@ -46,7 +46,7 @@ def rf_score(spark, sf):
 @query(f"select count(*) as n, cast(0 as bigint) as n_different from {SM} t where ndvi is not null")
 def model_roundtrip(spark, sf):
     """A model read back must score every row as before."""
-    rows = samples(spark, sf).dropna(subset=c.FEATURES)
+    rows = complete(spark, sf)
     model, path = m.train_rf(rows, numTrees=10), scratch_path(spark, "model")
     m.save_model(model, path)
     before = m.score(rows, model).select("sample_id", F.col("urban_prob").alias("before"))

@@ -127,13 +127,17 @@ def _median_deep(obs: DataFrame, bands: list[str], keys: list[str]) -> DataFrame
 
 
 def median_by_pixel(
-    obs: DataFrame, bands: list[str] = c.BANDS, keys: list[str] = c.PIXEL, hot_rows: int = HOT_ROWS
+    obs: DataFrame, bands: list[str] = c.BANDS, keys: list[str] = c.PIXEL, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Exact median per pixel and band over the observations that are present.
 
     A pixel without any gives NULL. A pixel seen more than ``hot_rows`` times
-    takes the counting route, so that no task gathers its whole stack.
+    takes the counting route, so that no task gathers its whole stack. Finding
+    such pixels takes a pass over the key columns; None leaves it out, for
+    stacks known to be shallow.
     """
+    if hot_rows is None:
+        return _median_shallow(obs, bands, keys)
     deep = obs.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select(*keys)
     hot = settle(deep)
     if hot.isEmpty():
@@ -144,7 +148,7 @@ def median_by_pixel(
 
 
 def build_composites(
-    obs: DataFrame, years: list[int] = c.YEARS, bands: list[str] = c.BANDS, hot_rows: int = HOT_ROWS
+    obs: DataFrame, years: list[int] = c.YEARS, bands: list[str] = c.BANDS, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Epoch, cloud mask, band choice, median, scale: every city and epoch in one plan.
 

@@ -63,6 +63,11 @@ def clean_samples(
     )
 
 
+def with_row_key(df: DataFrame, out: str) -> DataFrame:
+    """A key made of the row's own content, for tables of distinct rows without one."""
+    return df.withColumn(out, F.md5(F.to_json(F.struct(*[F.col(n).cast("string") for n in sorted(df.columns)]))))
+
+
 def normalise_samples(df: DataFrame, numeric: list[str]) -> DataFrame:
     """Tidy subclass text, bad numbers to NULL, rows without a year dropped."""
     out = df.withColumn("subclass", F.lower(F.trim("subclass")))

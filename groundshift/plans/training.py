@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from groundshift import config as c
 from groundshift.operators.model import ERAS, in_era, train_rf
-from groundshift.operators.sampling import balance_downsample, hash_split
+from groundshift.operators.sampling import balance_downsample, hash_split, union_all
+from groundshift.operators.small import settle
 from groundshift.operators.stats import classification_metrics
 
-
 ROWS_PER_TASK = 100_000
 
 
@@ -23,24 +25,37 @@ class Trained:
     predictions: DataFrame
 
 
-def fit_stable(train: DataFrame, key: str, features: list[str]) -> PipelineModel:
+def fit_stable(train: DataFrame, key: str, features: list[str], rows: int) -> PipelineModel:
     """Fit on rows placed and ordered by key, so that a rerun, or a task redone
     after a lost executor, draws the same bootstrap."""
-    parts = 1 + train.count() // ROWS_PER_TASK
-    placed = train.repartition(parts, key).sortWithinPartitions(key).persist()
+    parts = 1 + rows // ROWS_PER_TASK
+    return train_rf(train.repartition(parts, key).sortWithinPartitions(key), features)
+
+
+def train_era(
+    clean: DataFrame, era: str, key: str = "sample_id", features: list[str] = c.FEATURES, seed: int = 42
+) -> Trained:
+    """A balanced, validated forest for one era; the balanced samples are computed once."""
+    balanced = balance_downsample(in_era(clean, era), seed=seed, key=key)
+    parts = hash_split(balanced, key, seed).select(key, *features, "label", "part").persist()
     try:
-        return train_rf(placed, features)
+        model = fit_stable(parts.where("part = 'train'"), key, features, parts.count())
+        preds = model.transform(parts.where("part = 'validation'")).select(F.lit(era).alias("era"), key, "label", "prediction")
+        metrics = settle(classification_metrics(preds).select(F.lit(era).alias("era"), "*"))
     finally:
-        placed.unpersist()
-
-
-def train_models(clean: DataFrame, key: str = "sample_id", features: list[str] = c.FEATURES, seed: int = 42) -> Trained:
-    """One balanced, validated forest per era, from cleaned samples."""
-    models, metrics, predictions = {}, [], []
-    for era in ERAS:
-        parts = hash_split(balance_downsample(in_era(clean, era), seed=seed, key=key), key, seed)
-        models[era] = fit_stable(parts.where("part = 'train'").select(key, *features, "label"), key, features)
-        preds = models[era].transform(parts.where("part = 'validation'")).select(key, "label", "prediction")
-        metrics.append(classification_metrics(preds).select(F.lit(era).alias("era"), "*"))
-        predictions.append(preds.withColumn("era", F.lit(era)))
-    return Trained(models, metrics[0].unionByName(metrics[1]), predictions[0].unionByName(predictions[1]))
+        parts.unpersist()
+    return Trained({era: model}, metrics, preds)
+
+
+def train_models(
+    clean: DataFrame, key: str = "sample_id", features: list[str] = c.FEATURES, seed: int = 42
+) -> Trained:
+    """One forest per era, fitted side by side."""
+    task = inheritable_thread_target(clean.sparkSession)(lambda era: train_era(clean, era, key, features, seed))
+    with ThreadPool(len(ERAS)) as pool:
+        done = pool.map(task, ERAS)
+    return Trained(
+        {era: d.models[era] for era, d in zip(ERAS, done)},
+        union_all(*[d.metrics for d in done]),
+        union_all(*[d.predictions for d in done]),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -40,9 +41,12 @@ def shared_dir(spark: SparkSession) -> str:
         return base
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="groundshift-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="groundshift-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

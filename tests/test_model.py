@@ -24,8 +24,8 @@ def probs(df):
 
 
 def test_same_rows_give_the_same_forest(samples):
-    a = fit_stable(samples.repartition(5), "sample_id", FEATURES)
-    b = fit_stable(samples.repartition(3, "yr"), "sample_id", FEATURES)
+    a = fit_stable(samples.repartition(5), "sample_id", FEATURES, 1200)
+    b = fit_stable(samples.repartition(3, "yr"), "sample_id", FEATURES, 1200)
     assert probs(m.score(samples, a, FEATURES)) == probs(m.score(samples, b, FEATURES))
 
 

@@ -1,5 +1,8 @@
 import gzip
 import os
+from types import SimpleNamespace
+
+import pytest
 
 from groundshift.session import scratch_path, shared_dir
 from groundshift.sources.tables import METRICS_SCHEMA, read_metrics, read_samples_csv, read_samples_tolerant
@@ -40,3 +43,14 @@ def test_absent_metrics_are_empty_but_typed(spark):
 def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + os.sep)
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def fake_session(master, folder=None):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master))
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(ValueError):
+        shared_dir(fake_session("yarn"))
+    assert shared_dir(fake_session("yarn", "hdfs://x/y")) == "hdfs://x/y"
+    assert shared_dir(fake_session("local[4]")) == shared_dir(fake_session("local[4]"))
