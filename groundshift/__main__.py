@@ -8,12 +8,14 @@ from groundshift.operators.growth import decade_totals, growth_leaders, most_act
 from groundshift.operators.model import feature_importance
 from groundshift.operators.stats import confusion
 from groundshift.plans import jobs
+from groundshift.plans.reports import REPORTS
 from groundshift.session import build_session
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="groundshift")
     sub = top.add_subparsers(dest="job", required=True)
+    choices = {("report", "name"): REPORTS, ("describe", "name"): jobs.DESCRIPTIONS}
     for name, args in {
         "status": ["scenes"],
         "composites": ["obs", "out"],
@@ -21,10 +23,12 @@ def parser() -> argparse.ArgumentParser:
         "train": ["samples", "models"],
         "classify": ["composites", "models", "out"],
         "metrics": ["classified", "out"],
+        "report": ["metrics", "name"],
+        "describe": ["samples", "name"],
     }.items():
         job = sub.add_parser(name)
         for arg in args:
-            job.add_argument(arg)
+            job.add_argument(arg, choices=sorted(choices.get((name, arg), [])) or None)
         if name == "train":
             job.add_argument("--city")
         if name in ("status", "composites"):
@@ -50,6 +54,10 @@ def main(argv: list[str] | None = None) -> None:
             feature_importance(model).show()
     elif a.job == "classify":
         jobs.classify(spark, a.composites, a.models, a.out).orderBy("city", "yr").show()
+    elif a.job == "report":
+        REPORTS[a.name](jobs.stored_metrics(spark, a.metrics)).show(200, truncate=False)
+    elif a.job == "describe":
+        jobs.DESCRIPTIONS[a.name](jobs.stored_samples(spark, a.samples)).show(500, truncate=False)
     else:
         table = jobs.metrics(spark, a.classified, a.out)
         table.orderBy("city", "yr").show()

@@ -10,7 +10,6 @@ from groundshift import config as c
 from groundshift.functions.dates import window_dates
 from groundshift.functions.radiometry import apply_scale_factors, harmonise_bands, mask_clouds
 from groundshift.operators.small import join_small, settle
-from groundshift.sources.dims import lookup
 
 BOX = ["lon_min", "lat_min", "lon_max", "lat_max"]
 HOT_ROWS = 100_000
@@ -61,18 +60,24 @@ def scenes_by_region(scenes: DataFrame, regions: DataFrame, cell: float = 1.0) -
     return join_small(left, right, ["cx", "cy"]).where(meets & home).select(*scenes.columns, "city")
 
 
-def assign_epoch(df: DataFrame, years: list[int] = c.YEARS, date_col: str = "acq_date") -> DataFrame:
+def assign_epoch(
+    df: DataFrame, years: list[int] = c.YEARS, date_col: str = "acq_date", sensor_col: str | None = None
+) -> DataFrame:
     """Add ``yr``: the epoch whose window holds the date; other rows are dropped.
 
-    The windows are constants, so no join is needed and the date range reaches
-    the scan. Overlapping windows give one row per epoch.
+    With ``sensor_col`` a row must also come from the epoch's own sensor. The
+    windows are constants, so no join is needed and dates and sensors reach the
+    scan. Overlapping windows give one row per epoch.
     """
     years = sorted(years)
     spans = {y: window_dates(y) for y in years}
+    if sensor_col and not set(years) <= set(c.SENSORS):
+        raise ValueError(f"unsupported year in {years}; use some of {sorted(c.SENSORS)}")
     day = F.col(date_col)
 
     def inside(y: int) -> Column:
-        return (day >= F.lit(spans[y][0])) & (day < F.lit(spans[y][1]))
+        dated = (day >= F.lit(spans[y][0])) & (day < F.lit(spans[y][1]))
+        return dated & (F.col(sensor_col) == c.SENSORS[y]) if sensor_col else dated
 
     hits = df.where(reduce(lambda a, b: a | b, [inside(y) for y in years]))
     if all(spans[a][1] <= spans[b][0] for a, b in zip(years, years[1:])):
@@ -80,15 +85,9 @@ def assign_epoch(df: DataFrame, years: list[int] = c.YEARS, date_col: str = "acq
     return hits.withColumn("yr", F.explode(F.array_compact(F.array(*[F.when(inside(y), F.lit(y)) for y in years]))))
 
 
-def sensor_for(yr: Column) -> Column:
-    """Collection that serves an epoch; any other year is an error."""
-    bad = F.raise_error(F.concat(F.lit("unsupported year "), yr.cast("string")))
-    return F.coalesce(lookup(c.SENSORS, yr), bad)
-
-
 def image_count(scenes: DataFrame, regions: DataFrame, years: list[int] = c.YEARS) -> DataFrame:
     """Scenes per city and epoch from the epoch's own sensor."""
-    dated = assign_epoch(scenes, years).where(F.col("collection") == sensor_for(F.col("yr")))
+    dated = assign_epoch(scenes, years, sensor_col="collection")
     return scenes_by_region(dated, regions).groupBy("city", "yr").agg(F.count("*").alias("n_scenes"))
 
 
@@ -153,9 +152,11 @@ def build_composites(
     """Epoch, cloud mask, band choice, median, scale: every city and epoch in one plan.
 
     The scale is affine and increasing, so the median runs on the integer
-    numbers and only its result is scaled.
+    numbers and only its result is scaled. Observations that name their
+    ``collection`` count only in the epochs that sensor serves.
     """
     raw = [n for n in obs.columns if n.startswith("sr_b")]
-    dated = mask_clouds(assign_epoch(obs, years), raw)
+    sensor = "collection" if "collection" in obs.columns else None
+    dated = mask_clouds(assign_epoch(obs, years, sensor_col=sensor), raw)
     named = harmonise_bands(dated, bands).select(*c.PIXEL, *bands)
     return apply_scale_factors(median_by_pixel(named, bands, hot_rows=hot_rows), bands)

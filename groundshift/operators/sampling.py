@@ -132,8 +132,11 @@ def sample_n_per_class(cands: DataFrame, key: str = "point_id", quotas: dict = c
 
 
 def sample_points(px: DataFrame, points: DataFrame, bands: list[str] = c.BANDS) -> DataFrame:
-    """Band values under each point; points on masked or absent pixels drop out."""
-    return points.join(px, c.PIXEL).dropna(subset=list(bands))
+    """Band values under each point; points on masked or absent pixels drop out.
+
+    Few points are broadcast, so that the rasters stay where they are.
+    """
+    return join_small(px, points, c.PIXEL).dropna(subset=list(bands))
 
 
 def balance_downsample(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from groundshift.session import checkpointed
 
-MAX_ROWS = 10_000
+MAX_ROWS = 100_000
 MAX_BYTES = 32 << 20
 
 

@@ -71,9 +71,12 @@ def subclass_year_means(df: DataFrame, features: list[str] = c.FEATURES) -> Data
 
 def spectral_fingerprint(df: DataFrame, features: list[str] = c.FEATURES, years: list[int] = c.YEARS) -> DataFrame:
     """Mean spectra on the full epoch axis; epochs without samples are NULL."""
-    means = subclass_year_means(df, features)
-    axis = means.groupBy("subclass").agg(F.lit(1)).select("subclass", F.explode(F.array(*map(F.lit, years))).alias("yr"))
-    return axis.join(means, ["subclass", "yr"], "left")
+    spectrum = F.struct(*features)
+    known = subclass_year_means(df, features).groupBy("subclass").agg(
+        F.map_from_entries(F.collect_list(F.struct("yr", spectrum))).alias("by_year")
+    )
+    axis = known.withColumn("yr", F.explode(F.array(*map(F.lit, years))))
+    return axis.select("subclass", "yr", F.try_element_at("by_year", F.col("yr")).alias("s")).select("subclass", "yr", "s.*")
 
 
 def correlation_matrix(df: DataFrame, features: list[str] = c.FEATURES, key: str = "subclass") -> DataFrame:
@@ -136,15 +139,17 @@ def confusion(preds: DataFrame) -> DataFrame:
 def classification_metrics(preds: DataFrame) -> DataFrame:
     """Accuracy, and F1, precision and recall weighted by class size, from one
     confusion count. A class that is never predicted has precision 0."""
-    cells = confusion(preds)
-    total = cells.groupBy("label").agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("tp")
-    )
-    guessed = cells.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("guessed"))
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(none)
+    actual = F.struct(F.col("label").alias("class"), n.alias("support"), none.alias("guessed"), hit.alias("tp"))
+    guess = F.struct(F.col("prediction").alias("class"), none.alias("support"), n.alias("guessed"), none.alias("tp"))
     per = (
-        total.join(guessed, "label", "left")
+        confusion(preds)
+        .select(F.inline(F.array(actual, guess)))
+        .groupBy("class")
+        .agg(*[F.sum(x).alias(x) for x in ("support", "guessed", "tp")])
         .withColumn("p", F.coalesce(F.try_divide(F.col("tp"), F.col("guessed")), F.lit(0.0)))
-        .withColumn("r", F.try_divide(F.col("tp"), F.col("support")))
+        .withColumn("r", F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0)))
         .withColumn("f", F.coalesce(F.try_divide(F.col("p") * F.col("r") * 2, F.col("p") + F.col("r")), F.lit(0.0)))
     )
 

@@ -5,16 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from groundshift import config as c
+from groundshift.operators import stats
 from groundshift.operators.classify import class_counts, classify_rasters, coverage
 from groundshift.operators.composite import build_composites, composite_jobs, image_count
 from groundshift.operators.growth import active
 from groundshift.operators.model import ERAS, load_model, save_model, score_by_era
-from groundshift.operators.sampling import build_training_set, clean_samples, with_row_key
+from groundshift.operators.sampling import build_training_set, clean_samples, normalise_samples, with_row_key
 from groundshift.plans.growth_report import growth_report
 from groundshift.plans.training import Trained, train_models
 from groundshift.sources.dims import grid_df, regions_df
 from groundshift.sources.raster import read_raster, write_raster
-from groundshift.sources.tables import METRICS_SCHEMA, SAMPLE_COLUMNS, read_metrics, read_samples_csv, write_csv
+from groundshift.sources.tables import (
+    METRICS_SCHEMA,
+    SAMPLE_COLUMNS,
+    read_metrics,
+    read_samples_csv,
+    read_samples_tolerant,
+    write_csv,
+)
 
 MODEL_NAMES = {"legacy": "urban_rf_model_legacy", "2020": "urban_rf_model_2020"}
 
@@ -67,4 +75,24 @@ def metrics(spark: SparkSession, classified: str, out: str) -> DataFrame:
     """The growth table as CSV; returns it as read back, keyed by ``yr``."""
     report = growth_report(read_raster(spark, classified)).withColumnRenamed("yr", "year")
     write_csv(report.coalesce(1), out, [part.split()[0] for part in METRICS_SCHEMA.split(", ")])
-    return read_metrics(spark, out).withColumnRenamed("year", "yr")
+    return stored_metrics(spark, out)
+
+
+def stored_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return read_metrics(spark, path).withColumnRenamed("year", "yr")
+
+
+def stored_samples(spark: SparkSession, paths) -> DataFrame:
+    """Sample files as the spectral tables expect them; unfit files are skipped."""
+    return normalise_samples(read_samples_tolerant(spark, paths).withColumnRenamed("year", "yr"), c.FEATURES)
+
+
+DESCRIPTIONS = {
+    "subclasses": stats.ordered_subclasses,
+    "means": stats.subclass_year_means,
+    "fingerprint": stats.spectral_fingerprint,
+    "correlation": stats.correlation_matrix,
+    "density": lambda df: stats.grouped_kde(df, "subclass", "ndvi"),
+    "cloud": stats.pixel_cloud_bins,
+    "features": lambda df: stats.feature_stats(df, keys=["yr"]),
+}

@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from groundshift import config as c
 from groundshift.functions.reporting import direction, percent_change, rounded
-from groundshift.operators.growth import active, endpoints, growth_between, growth_display, latest
+from groundshift.operators.growth import (
+    active,
+    decade_leaders,
+    decade_totals,
+    endpoints,
+    growth_between,
+    growth_display,
+    growth_leaders,
+    most_active_decade,
+)
 from groundshift.sources.dims import city_rank, grid_df, lookup
 
 FIRST, LAST = c.YEARS[0], c.YEARS[-1]
@@ -81,17 +90,13 @@ def grouped_bars(metrics: DataFrame, cities: list[str] = c.CITIES, years: list[i
 def area_series(metrics: DataFrame, highlighted: list[str] | None = None) -> DataFrame:
     """Line series with a highlight flag and the label of the last point."""
     shown = F.lit(True) if highlighted is None else F.col("city").isin(highlighted)
-    last = latest(metrics).select("city", F.col("yr").alias("last_yr"), F.col("urban_area_km2").alias("last_area"))
-    return (
-        metrics.select(*c.RASTER, "urban_area_km2")
-        .join(last, "city")
-        .select(
-            "city",
-            "yr",
-            "urban_area_km2",
-            shown.alias("highlighted"),
-            F.when(shown & (F.col("yr") == F.col("last_yr")), F.col("last_area")).alias("end_label"),
-        )
+    is_last = F.col("yr") == F.max("yr").over(Window.partitionBy("city"))
+    return metrics.select(
+        "city",
+        "yr",
+        "urban_area_km2",
+        shown.alias("highlighted"),
+        F.when(shown & is_last, F.col("urban_area_km2")).alias("end_label"),
     )
 
 
@@ -139,3 +144,26 @@ def compare_years(metrics: DataFrame, start: int = FIRST, end: int = LAST, citie
     return growth_between(metrics, start, end, cities).withColumns(
         {"year_a": F.lit(start), "year_b": F.lit(end)}
     )
+
+
+REPORTS = {
+    f.__name__: f
+    for f in (
+        growth_summary,
+        city_summary,
+        city_comparison,
+        home_cards,
+        slopegraph,
+        heatmap_active,
+        grouped_bars,
+        area_series,
+        bubble_matrix,
+        metric_card,
+        growth_table,
+        compare_years,
+        decade_leaders,
+        decade_totals,
+        most_active_decade,
+        growth_leaders,
+    )
+}

@@ -25,6 +25,13 @@ def test_even_odd_and_cloudy_stacks(spark):
     assert got[2] is None and len(got) == 3
 
 
+def test_only_the_sensor_of_the_epoch_counts(spark):
+    rows = [("a", date(2000, 5, 1), 0, 0, v, v, v, v, v, 0) for v in (10, 90)]
+    mixed = obs(spark, rows).withColumn("collection", F.when(F.col("sr_b1") == 10, "LT05").otherwise("LE07"))
+    out = comp.build_composites(mixed).collect()
+    assert len(out) == 1 and abs(out[0].red - (10 * 2.75e-5 - 0.2)) < 1e-12
+
+
 def test_sensor_bands_per_epoch(spark):
     rows = [("a", date(y, 5, 1), 0, 0, 1, 2, 3, 4, 5, 0) for y in (1990, 2020)]
     out = {r.yr: r for r in comp.build_composites(obs(spark, rows)).collect()}

@@ -44,7 +44,11 @@ def test_study_end_to_end(spark):
 
     table = jobs.metrics(spark, path["classes"], path["metrics"])
     assert table.count() == 16
-    assert reports.growth_table(table).count() == 16
+    for name, report in reports.REPORTS.items():
+        assert isinstance(report(table).collect(), list), name
+    stored = jobs.stored_samples(spark, path["samples"])
+    for name, describe in jobs.DESCRIPTIONS.items():
+        assert describe(stored).count() > 0, name
 
 
 def jobs_window():
@@ -53,6 +57,6 @@ def jobs_window():
     return Window.orderBy(*c.PIXEL)
 
 
-@pytest.mark.parametrize("line", ["composites a b --years 1990 --cities austin", "train a b --city riverside", "metrics a b"])
+@pytest.mark.parametrize("line", ["composites a b --years 1990 --cities austin", "train a b --city riverside", "metrics a b", "report m growth_table", "describe s means"])
 def test_command_line_is_understood(line):
     assert cli.parser().parse_args(line.split()).job == line.split()[0]

@@ -8,7 +8,7 @@ from groundshift.functions import naming, radiometry as rad
 from groundshift.functions.dates import date_window
 from groundshift.functions.reporting import direction, pct_display, percent_change, pixels_to_km2, rounded
 from groundshift.operators.classify import classify, classify_rasters, rescale_reflectance
-from groundshift.operators.composite import sensor_for
+from groundshift.operators.composite import assign_epoch
 
 NAN, INF = float("nan"), float("inf")
 
@@ -45,8 +45,8 @@ def test_unknown_year_is_an_error(spark):
     raw = values(spark, [(1995, 1, 2, 3, 4, 5)], "yr int, sr_b1 int, sr_b2 int, sr_b3 int, sr_b4 int, sr_b5 int")
     with pytest.raises(PySparkException):
         rad.harmonise_bands(raw).collect()
-    with pytest.raises(PySparkException):
-        raw.select(sensor_for(F.col("yr"))).collect()
+    with pytest.raises(ValueError):
+        assign_epoch(raw, [1995], sensor_col="collection")
 
 
 def test_normalized_difference_masks(spark):
