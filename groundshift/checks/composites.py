@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from groundshift import config as c
 from groundshift.checks.fixtures import view
-from groundshift.checks.registry import query, rs, sql_rs
+from groundshift.checks.registry import query, rs
 from groundshift.functions.radiometry import mask_clouds
 from groundshift.operators import composite as comp
 from groundshift.sources.dims import bandmap_df, epochs_df, grid_df, regions_df

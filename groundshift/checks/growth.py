@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from groundshift import config as c
 from groundshift.checks.fixtures import GAP_CITIES, GAP_YEARS, view
 from groundshift.checks.radiometry import classified
 from groundshift.checks.registry import query, r

@@ -29,11 +29,6 @@ def in_era(df: DataFrame, era: str) -> DataFrame:
     return df.where(era_of(F.col("yr")) == era)
 
 
-def train_by_era(train: DataFrame, features: list[str] = c.FEATURES, **params) -> dict[str, PipelineModel]:
-    """One model for the early sensors, one for 2020."""
-    return {era: train_rf(in_era(train, era), features, **params) for era in ERAS}
-
-
 def score(px: DataFrame, model: PipelineModel, features: list[str] = c.FEATURES) -> DataFrame:
     """Add ``urban_prob`` to every row; NULL where a feature is missing."""
     complete = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in features])
