@@ -13,6 +13,7 @@ from groundshift.operators.small import join_small, settle
 
 BOX = ["lon_min", "lat_min", "lon_max", "lat_max"]
 HOT_ROWS = 100_000
+ESTIMATE_ROWS = 1_000
 
 
 def filter_bounds(scenes: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
@@ -118,27 +119,39 @@ def _median_shallow(obs: DataFrame, bands: list[str], keys: list[str]) -> DataFr
 def _median_deep(obs: DataFrame, bands: list[str], keys: list[str]) -> DataFrame:
     """Counts per value first: the value is part of the shuffle key, so one pixel
     spreads over many tasks, and what is left per pixel is its distinct values."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.col(b).alias("dn")) for b in bands]))
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("band"), F.col(b).alias("dn")) for i, b in enumerate(bands)]))
     counts = obs.select(*keys, pairs.alias("p")).groupBy(*keys, "p.band", "p.dn").agg(F.count("*").alias("n"))
     return counts.groupBy(*keys).agg(
-        *[F.percentile(F.when(F.col("band") == b, F.col("dn")), F.lit(0.5), F.col("n")).alias(b) for b in bands]
+        *[F.percentile(F.when(F.col("band") == i, F.col("dn")), F.lit(0.5), F.col("n")).alias(b) for i, b in enumerate(bands)]
     )
 
 
+def _deep_pixels(obs: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Pixels to send down the counting route: all deeper than ``hot_rows``.
+
+    Both routes give the same medians over all rows, so this may guess: large
+    stacks are estimated from a sample of the key columns, with a margin of half,
+    which spares a shuffle of every key. Small limits are counted in full.
+    """
+    share = min(1.0, ESTIMATE_ROWS / max(hot_rows, 1))
+    seen, limit = obs.select(*keys), hot_rows
+    if share < 1.0:
+        seen, limit = seen.sample(share, seed=1), hot_rows * share / 2
+    return seen.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > limit).select(*keys)
+
+
 def median_by_pixel(
     obs: DataFrame, bands: list[str] = c.BANDS, keys: list[str] = c.PIXEL, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Exact median per pixel and band over the observations that are present.
 
     A pixel without any gives NULL. A pixel seen more than ``hot_rows`` times
-    takes the counting route, so that no task gathers its whole stack. Finding
-    such pixels takes a pass over the key columns; None leaves it out, for
-    stacks known to be shallow.
+    takes the counting route, so that no task gathers its whole stack; None
+    leaves the search for such pixels out, for stacks known to be shallow.
     """
     if hot_rows is None:
         return _median_shallow(obs, bands, keys)
-    deep = obs.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select(*keys)
-    hot = settle(deep)
+    hot = settle(_deep_pixels(obs, keys, hot_rows))
     if hot.isEmpty():
         return _median_shallow(obs, bands, keys)
     return _median_shallow(obs.join(hot, keys, "left_anti"), bands, keys).unionByName(
