@@ -11,7 +11,8 @@ from groundshift.checks.registry import query, r
 from groundshift.checks.samples import SM, samples
 from groundshift.operators import model as m
 from groundshift.operators.classify import class_counts, classify_rasters
-from groundshift.plans.training import train_era, train_models
+from groundshift.operators.sampling import union_all
+from groundshift.plans.training import balanced_split, train_era, train_models
 from groundshift.session import scratch_path
 
 
@@ -26,6 +27,21 @@ def assemble(spark, sf):
     return array.select("sample_id", *[r(F.col("v")[i]).alias(f"f{i}") for i in range(len(c.FEATURES))])
 
 
+_ERA = "case when yr = 2020 then '2020' else 'legacy' end"
+
+
+@query(f"""select era, part, label, count(*) as n from (
+  select *, case when md5('42:' || sample_id) < 'cccccccc' then 'train' else 'validation' end as part,
+    row_number() over (partition by era, label order by md5('42:' || sample_id)) as rn,
+    least(sum(label) over (partition by era), sum(1 - label) over (partition by era)) as quota
+  from (select *, {_ERA} as era from {SM} s where ndvi is not null) a) t where rn <= quota group by era, part, label""")
+def era_split(spark, sf):
+    """What each era's forest is fitted on and validated with."""
+    rows = complete(spark, sf)
+    parts = [balanced_split(rows, era).withColumn("era", F.lit(era)) for era in m.ERAS]
+    return union_all(*parts).groupBy("era", "part", "label").agg(F.count("*").alias("n"))
+
+
 @query()
 def rf_train_eval(spark, sf):
     return train_models(complete(spark, sf)).metrics
@@ -43,6 +59,20 @@ def rf_score(spark, sf):
     return class_counts(scored)
 
 
+@query("""select city, yr, count(*) as n_total, cast(sum(case when red is not null then 1 else 0 end) as bigint) as n_scored,
+  cast(sum(case when red is null then 1 else 0 end) as bigint) as n_nodata from {px10k} group by city, yr""")
+def rf_score_coverage(spark, sf):
+    """Whatever the forest says, every valid pixel gets a probability and a class, and no other pixel does."""
+    model = m.train_rf(complete(spark, sf), numTrees=10)
+    scored = classify_rasters(view(spark, sf, "px10k").drop("urban_prob"), lambda df: m.score_by_era(df, dict.fromkeys(m.ERAS, model)))
+    good = F.col("urban_class").isin(0, 1) & F.col("urban_prob").between(0, 1)
+    return scored.groupBy(*c.RASTER).agg(
+        F.count("*").alias("n_total"),
+        F.count_if(good & F.col("valid")).alias("n_scored"),
+        F.count_if((F.col("urban_class") == c.NODATA) & ~F.col("valid")).alias("n_nodata"),
+    )
+
+
 @query(f"select count(*) as n, cast(0 as bigint) as n_different from {SM} t where ndvi is not null")
 def model_roundtrip(spark, sf):
     """A model read back must score every row as before."""

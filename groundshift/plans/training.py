@@ -32,12 +32,19 @@ def fit_stable(train: DataFrame, key: str, features: list[str], rows: int) -> Pi
     return train_rf(train.repartition(parts, key).sortWithinPartitions(key), features)
 
 
+def balanced_split(
+    clean: DataFrame, era: str, key: str = "sample_id", features: list[str] = c.FEATURES, seed: int = 42
+) -> DataFrame:
+    """The balanced samples of one era, marked train or validation in ``part``."""
+    balanced = balance_downsample(in_era(clean, era), seed=seed, key=key)
+    return hash_split(balanced, key, seed).select(key, *features, "label", "part")
+
+
 def train_era(
     clean: DataFrame, era: str, key: str = "sample_id", features: list[str] = c.FEATURES, seed: int = 42
 ) -> Trained:
     """A balanced, validated forest for one era; the balanced samples are computed once."""
-    balanced = balance_downsample(in_era(clean, era), seed=seed, key=key)
-    parts = hash_split(balanced, key, seed).select(key, *features, "label", "part").persist()
+    parts = balanced_split(clean, era, key, features, seed).persist()
     try:
         model = fit_stable(parts.where("part = 'train'"), key, features, parts.count())
         preds = model.transform(parts.where("part = 'validation'")).select(F.lit(era).alias("era"), key, "label", "prediction")

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from groundshift import config as c
 from groundshift.operators.composite import assign_epoch
+from groundshift.operators import small
 from groundshift.operators.raster import overlay
+from groundshift.operators.sampling import sample_points
+from groundshift.plans.growth_report import growth_report
 from groundshift.session import scratch_path
 from groundshift.sources.raster import read_raster, write_raster, write_raster_table
 from groundshift.sources.tables import scan_scenes, write_scenes
@@ -46,6 +49,34 @@ def test_scene_scan_reads_one_sensor(spark):
         scan_scenes(spark, path, 1995)
 
 
+def test_report_reads_only_the_class_column(spark, pixels):
+    path = scratch_path(spark, "columns")
+    px = pixels({("austin", 1990): [[1, 0]], ("austin", 2000): [[1, 1]]})
+    write_raster(px.withColumn("urban_prob", F.lit(0.5)), path)
+    assert "ReadSchema: struct<urban_class:int>" in plan(growth_report(read_raster(spark, path)))
+
+
+def test_few_points_leave_the_rasters_in_place(spark, monkeypatch):
+    px = spark.range(1000).selectExpr(
+        "'a' as city", "1990 as yr", "cast(id / 40 as int) as px_row", "cast(id % 40 as int) as px_col", "id / 1000 as red"
+    )
+    # a third of the points on one pixel
+    pts = spark.range(300).selectExpr(
+        "id as point_id", "'a' as city", "1990 as yr", "if(id % 3 = 0, 3, cast(id % 25 as int)) as px_row", "if(id % 3 = 0, 3, cast(id % 40 as int)) as px_col"
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = sample_points(px, pts, ["red"])
+        assert "BroadcastHashJoin" in plan(few) and "Exchange hashpartitioning" not in plan(few)
+        monkeypatch.setattr(small, "MAX_ROWS", 100)
+        many = sample_points(px, pts, ["red"])
+        assert "SortMergeJoin" in plan(many)
+        assert few.count() == many.count() == 300 and few.exceptAll(many).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_bucketed_rasters_join_without_a_shuffle(spark):
     n = spark.range(2000).select(
         F.lit("austin").alias("city"),
