@@ -32,7 +32,7 @@ _ERA = "case when yr = 2020 then '2020' else 'legacy' end"
 
 @query(f"""select era, part, label, count(*) as n from (
   select *, case when md5('42:' || sample_id) < 'cccccccc' then 'train' else 'validation' end as part,
-    row_number() over (partition by era, label order by md5('42:' || sample_id)) as rn,
+    row_number() over (partition by era, label order by md5('balance-42:' || sample_id)) as rn,
     least(sum(label) over (partition by era), sum(1 - label) over (partition by era)) as quota
   from (select *, {_ERA} as era from {SM} s where ndvi is not null) a) t where rn <= quota group by era, part, label""")
 def era_split(spark, sf):

@@ -92,7 +92,7 @@ def training_extent(spark, sf):
     return out.select("city", "yr", *rs(["lon_min", "lat_min", "lon_max", "lat_max"], 6))
 
 
-@query("""select sample_id, label from (select *, row_number() over (partition by label order by md5('42:' || sample_id)) as rn from {sm}) t
+@query("""select sample_id, label from (select *, row_number() over (partition by label order by md5('balance-42:' || sample_id)) as rn from {sm}) t
   where rn <= (select min(n) from (select count(*) as n from {sm} group by label) k)""")
 def balance_exact(spark, sf):
     return s.balance_downsample(view(spark, sf, "sm")).select("sample_id", "label")

@@ -155,7 +155,8 @@ def balance_downsample(
     both = df.where(F.col(label).isin(0, 1))
     if not exact:
         return both.sampleBy(label, {k: least / n for k, n in sizes.items()}, seed)
-    return smallest_by_hash(both, [label], key, quota=F.lit(least), seed=F.lit(seed))
+    # a hash of its own: a split by the same hash would put every kept row on one side
+    return smallest_by_hash(both, [label], key, quota=F.lit(least), seed=F.lit(f"balance-{seed}"))
 
 
 def hash_split(df: DataFrame, key: str = "sample_id", seed: int = 42, train: float = 0.8) -> DataFrame:

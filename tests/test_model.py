@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from groundshift.operators import model as m
-from groundshift.plans.training import fit_stable, train_models
+from groundshift.plans.training import balanced_split, fit_stable, train_models
 from groundshift.session import scratch_path
 
 FEATURES = ["red", "nir"]
@@ -35,6 +35,13 @@ def test_saved_model_scores_alike(spark, samples):
     assert probs(m.score(samples, model, FEATURES)) == probs(m.score(samples, m.load_model(path), FEATURES))
 
 
+def test_both_classes_are_validated(samples):
+    counts = {(r.part, r.label): r["count"] for r in balanced_split(samples, "legacy", features=FEATURES).groupBy("part", "label").count().collect()}
+    for label in (0.0, 1.0):
+        share = counts["validation", label] / (counts["validation", label] + counts["train", label])
+        assert 0.12 < share < 0.28
+
+
 def test_training_report_and_routing(samples):
     done = train_models(samples, features=FEATURES)
     got = {r.era: r for r in done.metrics.collect()}
