@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from groundshift.config import CITIES, YEARS
 from groundshift.operators.growth import decade_totals, growth_leaders, most_active_decade
 from groundshift.operators.model import feature_importance
 from groundshift.operators.stats import confusion
@@ -32,8 +33,10 @@ def parser() -> argparse.ArgumentParser:
         if name == "train":
             job.add_argument("--city")
         if name in ("status", "composites"):
-            job.add_argument("--cities", nargs="+", default=list(jobs.c.CITIES))
-            job.add_argument("--years", nargs="+", type=int, default=list(jobs.c.YEARS))
+            job.add_argument("--cities", nargs="+", choices=CITIES, default=CITIES)
+            job.add_argument("--years", nargs="+", type=int, choices=YEARS, default=YEARS)
+        if name == "composites":
+            job.add_argument("--scenes", help="scene table, if the observations are at lon/lat")
     return top
 
 
@@ -43,7 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     if a.job == "status":
         jobs.composite_status(spark, a.scenes, a.cities, a.years).orderBy("city", "yr").show()
     elif a.job == "composites":
-        jobs.composites(spark, a.obs, a.out, a.cities, a.years).orderBy("city", "yr").show()
+        jobs.composites(spark, a.obs, a.out, a.cities, a.years, a.scenes).orderBy("city", "yr").show()
     elif a.job == "training-set":
         jobs.training_set(spark, a.composites, a.candidates, a.out).groupBy("city", "year", "subclass").count().show()
     elif a.job == "train":

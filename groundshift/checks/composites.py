@@ -13,6 +13,7 @@ from groundshift.sources.dims import bandmap_df, epochs_df, grid_df, regions_df
 from groundshift.sources.tables import scan_scenes, write_scenes
 from groundshift.session import scratch_path
 
+STEP = f"({c.PIXEL_METRES}e0 / {c.METRES_PER_DEGREE}e0)"
 MEETS = "s.lon_min <= r.lon_max and s.lon_max >= r.lon_min and s.lat_min <= r.lat_max and s.lat_max >= r.lat_min"
 
 
@@ -32,6 +33,15 @@ def scenes_in_region(spark, sf):
     return comp.scenes_by_region(view(spark, sf, "scenes"), regions_df(spark)).select("scene_id", "city")
 
 
+@query(f"""select h.scene_id, r.city, strftime(s.acq_date, '%Y-%m-%d') as acq_date, s.collection,
+  cast(floor((r.lat_max - lat) / {STEP}) as int) as px_row, cast(floor((lon - r.lon_min) / {STEP}) as int) as px_col, sr_b1, sr_b5, qa_pixel
+  from {{shots}} h join {{scenes}} s on s.scene_id = h.scene_id join {{regions}} r on {MEETS}
+  where lon between r.lon_min and r.lon_max and lat between r.lat_min and r.lat_max""")
+def grid_observations(spark, sf):
+    out = comp.grid_observations(view(spark, sf, "shots"), view(spark, sf, "scenes"), regions_df(spark))
+    return out.select("scene_id", "city", F.col("acq_date").cast("string").alias("acq_date"), "collection", "px_row", "px_col", "sr_b1", "sr_b5", "qa_pixel")
+
+
 @query(f"""select r.city, r.lon_min, r.lat_min, r.lon_max, r.lat_max, count(s.scene_id) as n_scenes
   from {{regions}} r left join {{scenes}} s on {MEETS} group by all""")
 def dim_regions(spark, sf):

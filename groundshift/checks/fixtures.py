@@ -44,6 +44,12 @@ select o_orderkey as scene_id,
   cast((o_orderkey*6101) % 7000 + 29500 as double) / 1000 as lat_min,
   cast((o_orderkey*6101) % 7000 + 31100 as double) / 1000 as lat_max
 from {orders}""",
+    # observations placed by lon/lat inside the footprint of their scene
+    "shots": """
+select o.scene_id, sr_b1, sr_b2, sr_b3, sr_b4, sr_b5, qa_pixel,
+  s.lon_min + (px_col + 0.5e0) / 16 * (s.lon_max - s.lon_min) as lon,
+  s.lat_max - (px_row + 0.5e0) / 16 * (s.lat_max - s.lat_min) as lat
+from {obs} o join {scenes} s on o.scene_id = s.scene_id""",
     # composite pixels with a ready probability; masked, negative and too large values occur
     "px": f"""
 select {_ORDER_PIXEL},

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from groundshift import config as c
 from groundshift.functions.dates import window_dates
 from groundshift.functions.radiometry import apply_scale_factors, harmonise_bands, mask_clouds
+from groundshift.operators.raster import clip_box, snap_to_grid
 from groundshift.operators.small import join_small, settle
 
 BOX = ["lon_min", "lat_min", "lon_max", "lat_max"]
@@ -92,6 +93,18 @@ def image_count(scenes: DataFrame, regions: DataFrame, years: list[int] = c.YEAR
     return scenes_by_region(dated, regions).groupBy("city", "yr").agg(F.count("*").alias("n_scenes"))
 
 
+def grid_observations(obs: DataFrame, scenes: DataFrame, regions: DataFrame) -> DataFrame:
+    """Observations at lon/lat to pixels of every region their scene meets.
+
+    ``obs`` has ``scene_id``, ``lon``, ``lat`` and the bands; date and sensor come
+    from the scene. What lies outside the region is clipped away.
+    """
+    meta = [n for n in ("acq_date", "collection") if n in scenes.columns and n not in obs.columns]
+    pairs = scenes_by_region(scenes, regions).select("scene_id", "city", *meta)
+    inside = join_small(obs, pairs, "scene_id").transform(clip_box, regions)
+    return snap_to_grid(inside, regions).drop("lon", "lat")
+
+
 def composite_jobs(grid: DataFrame, counts: DataFrame) -> DataFrame:
     """What to build for every city and epoch; empty ones are skipped."""
     n = F.coalesce("n_scenes", F.lit(0))

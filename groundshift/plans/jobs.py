@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from groundshift import config as c
 from groundshift.operators import stats
 from groundshift.operators.classify import class_counts, classify_rasters, coverage
-from groundshift.operators.composite import build_composites, composite_jobs, image_count
+from groundshift.operators.composite import build_composites, composite_jobs, grid_observations, image_count
 from groundshift.operators.growth import active
 from groundshift.operators.model import ERAS, load_model, save_model, score_by_era
 from groundshift.operators.sampling import build_training_set, clean_samples, normalise_samples, with_row_key
@@ -28,10 +28,22 @@ MODEL_NAMES = {"legacy": "urban_rf_model_legacy", "2020": "urban_rf_model_2020"}
 
 
 def composites(
-    spark: SparkSession, obs: str, out: str, cities: list[str] = c.CITIES, years: list[int] = c.YEARS
+    spark: SparkSession,
+    obs: str,
+    out: str,
+    cities: list[str] = c.CITIES,
+    years: list[int] = c.YEARS,
+    scenes: str | None = None,
 ) -> DataFrame:
-    """Median composites of all cities and epochs; returns their coverage."""
-    write_raster(build_composites(active(spark.read.parquet(obs), cities), years), out)
+    """Median composites of all cities and epochs; returns their coverage.
+
+    With ``scenes`` the observations are raw ones at lon/lat, and are put on the
+    region grids first.
+    """
+    rows = spark.read.parquet(obs)
+    if scenes:
+        rows = grid_observations(rows, spark.read.parquet(scenes), active(regions_df(spark), cities))
+    write_raster(build_composites(active(rows, cities), years), out)
     return coverage(read_raster(spark, out))
 
 

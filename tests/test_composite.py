@@ -90,6 +90,20 @@ def test_region_join_against_brute_force(spark):
     assert got == want and want
 
 
+def test_observations_land_on_every_region_their_scene_meets(spark):
+    boxes = "lon_min double, lat_min double, lon_max double, lat_max double"
+    regions = spark.createDataFrame([("a", 0.0, 0.0, 1.0, 1.0), ("b", 0.5, 0.0, 1.5, 1.0)], f"city string, {boxes}")
+    scenes = spark.createDataFrame(
+        [(1, "LT05", date(1990, 1, 1), 0.0, 0.0, 1.0, 1.0), (2, "LE07", date(2010, 1, 1), 5.0, 5.0, 6.0, 6.0)],
+        f"scene_id int, collection string, acq_date date, {boxes}",
+    )
+    shots = spark.createDataFrame([(1, 0.75, 0.9999, 7), (1, 0.25, 0.5, 8), (1, -3.0, 0.5, 9), (2, 0.75, 0.5, 1)], "scene_id int, lon double, lat double, sr_b1 int")
+    got = sorted((r.city, r.sr_b1, r.px_row, r.px_col, r.collection) for r in comp.grid_observations(shots, scenes, regions).collect())
+    assert [g[:2] for g in got] == [("a", 7), ("a", 8), ("b", 7)]
+    assert got[0][2] == 0 and got[0][3] == int(0.75 / (30 / 111319.49)) and got[2][3] == int(0.25 / (30 / 111319.49))
+    assert {g[4] for g in got} == {"LT05"}
+
+
 def test_jobs_skip_what_has_no_scene(spark):
     counts = spark.createDataFrame([("austin", 1990, 3)], "city string, yr int, n_scenes long")
     jobs = comp.composite_jobs(grid_df(spark).select("city", "yr"), counts)

@@ -25,6 +25,11 @@ def test_study_end_to_end(spark):
     px = read_raster(spark, path["composites"])
     assert px.columns == [*c.PIXEL, *c.BANDS] and cover.agg(F.sum("n_total")).first()[0] == px.count()
 
+    raw = scratch_path(spark, "shots")
+    view(spark, SF, "shots").write.parquet(raw)
+    placed = jobs.composites(spark, raw, scratch_path(spark, "placed"), scenes=path["scenes"])
+    assert {r.city for r in placed.collect()} <= set(c.CITIES) and not placed.isEmpty()
+
     order = F.row_number().over(jobs_window())
     kinds = F.element_at(F.array(*map(F.lit, c.SUBCLASS_ORDER)), (F.col("px_col") % 5 + 1).cast("int"))
     kinds = F.when(F.col("nir") < F.col("red"), "urban").otherwise(kinds)
@@ -57,6 +62,6 @@ def jobs_window():
     return Window.orderBy(*c.PIXEL)
 
 
-@pytest.mark.parametrize("line", ["composites a b --years 1990 --cities austin", "train a b --city riverside", "metrics a b", "report m growth_table", "describe s means"])
+@pytest.mark.parametrize("line", ["composites a b --years 1990 --cities austin --scenes s", "train a b --city riverside", "metrics a b", "report m growth_table", "describe s means"])
 def test_command_line_is_understood(line):
     assert cli.parser().parse_args(line.split()).job == line.split()[0]
