@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from groundshift.checks import registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = registry.QUERIES, registry.CHECKS
 
 
 def unwanted(df):
@@ -40,4 +41,5 @@ def test_entry(spark):
 
 
 def test_every_check_belongs_to_a_query():
-    assert set(CHECKS) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
