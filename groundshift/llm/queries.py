@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from groundshift.llm import mixing, pieces, quality, simhash
-from groundshift.llm.scratch import shipped
+from groundshift.llm import mixing, pieces, quality, simhash, tokenfile, warc
+from groundshift.llm.scratch import new_folder, shipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -38,6 +38,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", signed_hex("fp").alias("fingerprint"), "component_id")
 
 
+@query()
+def op4_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "ids")
+    shards = tokenfile.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    return tokenfile.read(spark, shards, folder)
+
+
 @query()
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -66,6 +73,13 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    archives = warc.write(table(spark, sf_dir, "pages"), folder, least_bytes=0)
+    return warc.read(spark, archives, folder).drop("url")
+
+
 #: Word runs, the order of the shuffle, water-filled targets, finish times of all copies, and the cut at the budget.
 MIX_SQL = r"""
 with sized as (

@@ -70,3 +70,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 def columns(df: DataFrame, names: list[str] | None = None) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in names or df.columns]
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder that tasks may write files to."""
+    uri = scratch_path(spark, name)
+    files, path = filesystem(uri)
+    files.create_dir(path, recursive=True)
+    return uri
+
+
+def one_task_each(rows: DataFrame, n: int) -> DataFrame:
+    """Rows that name files, dealt out so that every task opens one or two."""
+    return rows.repartition(max(1, n))
