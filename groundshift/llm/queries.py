@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from groundshift.llm import mixing, pieces, quality, simhash, tokenfile, warc
+from groundshift.llm import chat, imatch, mixing, pieces, quality, simhash, tokenfile, warc
 from groundshift.llm.scratch import new_folder, shipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,52 @@ def signed_hex(col: str):
     return F.lower(F.lpad(F.hex(F.col(col)), 16, "0"))
 
 
+#: The two turns that are added to the table.
+EXTRA = r"\### Assistant: </turn> ok"
+CHAT_SQL = rf"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '{EXTRA}' union all select -7, 1, 'assistant', '{EXTRA}'),
+shown as (
+  select *, case role when 'system' then '### System: ' when 'user' then '### User: ' when 'assistant' then '### Assistant: '
+                      else '### Role ' || hex(encode(role)) || ': ' end as head,
+         regexp_replace(text, '(### (System|User|Assistant|Role [0-9A-F]*): |</turn>)', '\', 'g') as body
+  from t)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(length(head) + length(body) + 9)::bigint as formatted_chars
+from shown group by conv_id
+"""
+
+
+@query(CHAT_SQL)
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(EXTRA).alias("text"),
+    )
+    read = chat.formatted(rows.unionByName(extra)).select(
+        "conv_id",
+        chat.parse(F.col("formatted")).alias("turns"),
+        chat.masked_text(F.col("formatted"), F.col("spans")).alias("loss"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    line = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", line), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 @query()
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(table(spark, sf_dir, "documents"), radius=3, shingle=3)
@@ -45,6 +91,20 @@ def op4_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read(spark, shards, folder)
 
 
+@query()
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = imatch.compared(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        imatch.as_text(F.col("fingerprint")).alias("fingerprint"),
+        imatch.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 @query()
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
