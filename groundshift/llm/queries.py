@@ -41,7 +41,7 @@ with t as (
 shown as (
   select *, case role when 'system' then '### System: ' when 'user' then '### User: ' when 'assistant' then '### Assistant: '
                       else '### Role ' || hex(encode(role)) || ': ' end as head,
-         regexp_replace(text, '(### (System|User|Assistant|Role [0-9A-F]*): |</turn>)', '\', 'g') as body
+         regexp_replace(text, '(### (System|User|Assistant|Role [0-9A-F]*): |</turn>)', '\\\1', 'g') as body
   from t)
 select conv_id, count(*) as n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
