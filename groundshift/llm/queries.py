@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from groundshift.llm import chat, imatch, licenses, mixing, pieces, quality, simhash, tokenfile, warc
+from groundshift.llm import ann, chat, imatch, licenses, mixing, pieces, quality, simhash, tokenfile, warc
 from groundshift.llm.scratch import new_folder, shipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,11 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query()
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(table(spark, sf_dir, "documents"), radius=3, shingle=3)
