@@ -127,16 +127,20 @@ def median_composite(spark, sf):
     return comp.build_composites(view(spark, sf, "obs")).select(*c.PIXEL, *rs(c.BANDS))
 
 
-@query(_COMPOSITE)
+_HOT = "case when scene_id % 3 = 0 and city = 'riverside' then 0 else {0} end as {0}"
+
+
+@query(_COMPOSITE.replace("{dated}", "(select * replace (" + ", ".join(_HOT.format(n) for n in ("px_row", "px_col")) + ") from {dated}) hot"))
 def median_composite_hot(spark, sf):
-    """The same with the counting route for every pixel seen more than eight times."""
-    return comp.build_composites(view(spark, sf, "obs"), hot_rows=8).select(*c.PIXEL, *rs(c.BANDS))
+    """The same with a third of all observations on one pixel."""
+    hot = (F.col("scene_id") % 3 == 0) & (F.col("city") == "riverside")
+    obs = view(spark, sf, "obs").withColumns({n: F.when(hot, 0).otherwise(F.col(n)) for n in ("px_row", "px_col")})
+    return comp.build_composites(obs).select(*c.PIXEL, *rs(c.BANDS))
 
 
-@query(f"select city, px_row, px_col, " + ", ".join(f"median({_CLEAR.format(b)}) as {b}" for b in ["sr_b1", "sr_b2", "sr_b3"])
+@query(f"select city, px_row, px_col, " + ", ".join(f"median({_CLEAR.format(b)}) as {b}" for b in c.RAW_BANDS)
        + " from {obs} group by city, px_row, px_col")
 def median_all_dates(spark, sf):
     """Per-pixel medians over every date: the deepest stacks the tables give."""
-    bands = ["sr_b1", "sr_b2", "sr_b3"]
-    obs = mask_clouds(view(spark, sf, "obs"), bands)
-    return comp.median_by_pixel(obs, bands, ["city", "px_row", "px_col"])
+    obs = mask_clouds(view(spark, sf, "obs"), c.RAW_BANDS)
+    return comp.median_by_pixel(obs, c.RAW_BANDS, ["city", "px_row", "px_col"])

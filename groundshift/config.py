@@ -32,6 +32,7 @@ REGIONS = {
 # epoch -> sensor collection
 SENSORS = {1990: "LT05", 2000: "LT05", 2010: "LE07", 2020: "LC08"}
 
+RAW_BANDS = ["sr_b1", "sr_b2", "sr_b3", "sr_b4", "sr_b5"]
 BANDS = ["red", "green", "blue", "nir"]
 FEATURES = ["red", "green", "blue", "nir", "ndvi"]
 

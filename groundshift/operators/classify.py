@@ -37,8 +37,10 @@ def prepare_features(px: DataFrame) -> DataFrame:
 
 
 def with_threshold(px: DataFrame) -> DataFrame:
-    """Add the city's threshold for the epoch (sixteen fixed rows)."""
-    return px.join(F.broadcast(thresholds_df(px.sparkSession)), c.RASTER, "left")
+    """Add the city's threshold for the epoch (sixteen fixed rows); a raster without one stops the job."""
+    named = px.join(F.broadcast(thresholds_df(px.sparkSession)), c.RASTER, "left")
+    place = F.concat_ws(" ", F.lit("no threshold for"), F.col("city"), F.col("yr").cast("string"))
+    return named.withColumn("threshold", F.coalesce("threshold", F.raise_error(place).cast("double")))
 
 
 def urban_class(prob: Column, threshold: Column, valid: Column) -> Column:

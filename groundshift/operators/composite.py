@@ -10,11 +10,9 @@ from groundshift import config as c
 from groundshift.functions.dates import window_dates
 from groundshift.functions.radiometry import apply_scale_factors, harmonise_bands, mask_clouds
 from groundshift.operators.raster import clip_box, snap_to_grid
-from groundshift.operators.small import join_small, settle
+from groundshift.operators.small import join_small
 
 BOX = ["lon_min", "lat_min", "lon_max", "lat_max"]
-HOT_ROWS = 100_000
-ESTIMATE_ROWS = 1_000
 
 
 def filter_bounds(scenes: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
@@ -117,64 +115,17 @@ def composite_jobs(grid: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def _middle(values: Column) -> Column:
-    ordered, n = F.sort_array(values), F.size(values)
-    low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
-    high = F.get(ordered, F.floor(n / 2).cast("int"))
-    return F.when(n > 0, (low.cast("double") + high) / 2.0)
-
-
-def _median_shallow(obs: DataFrame, bands: list[str], keys: list[str]) -> DataFrame:
-    stacks = obs.groupBy(*keys).agg(*[F.collect_list(b).alias(b) for b in bands])
-    return stacks.select(*keys, *[_middle(F.col(b)).alias(b) for b in bands])
-
-
-def _median_deep(obs: DataFrame, bands: list[str], keys: list[str]) -> DataFrame:
-    """Counts per value first: the value is part of the shuffle key, so one pixel
-    spreads over many tasks, and what is left per pixel is its distinct values."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("band"), F.col(b).alias("dn")) for i, b in enumerate(bands)]))
-    counts = obs.select(*keys, pairs.alias("p")).groupBy(*keys, "p.band", "p.dn").agg(F.count("*").alias("n"))
-    return counts.groupBy(*keys).agg(
-        *[F.percentile(F.when(F.col("band") == i, F.col("dn")), F.lit(0.5), F.col("n")).alias(b) for i, b in enumerate(bands)]
-    )
-
-
-def _deep_pixels(obs: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Pixels to send down the counting route: all deeper than ``hot_rows``.
-
-    Both routes give the same medians over all rows, so this may guess: large
-    stacks are estimated from a sample of the key columns, with a margin of half,
-    which spares a shuffle of every key. Small limits are counted in full.
-    """
-    share = min(1.0, ESTIMATE_ROWS / max(hot_rows, 1))
-    seen, limit = obs.select(*keys), hot_rows
-    if share < 1.0:
-        seen, limit = seen.sample(share, seed=1), hot_rows * share / 2
-    return seen.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > limit).select(*keys)
-
-
-def median_by_pixel(
-    obs: DataFrame, bands: list[str] = c.BANDS, keys: list[str] = c.PIXEL, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def median_by_pixel(obs: DataFrame, bands: list[str] = c.BANDS, keys: list[str] = c.PIXEL) -> DataFrame:
     """Exact median per pixel and band over the observations that are present.
 
-    A pixel without any gives NULL. A pixel seen more than ``hot_rows`` times
-    takes the counting route, so that no task gathers its whole stack; None
-    leaves the search for such pixels out, for stacks known to be shallow.
+    A pixel without any gives NULL. The state of a pixel is a count per value,
+    merged before the shuffle; the numbers of a band have sixteen bits, so it is
+    bounded however often a pixel is seen, and no stack is gathered.
     """
-    if hot_rows is None:
-        return _median_shallow(obs, bands, keys)
-    hot = settle(_deep_pixels(obs, keys, hot_rows))
-    if hot.isEmpty():
-        return _median_shallow(obs, bands, keys)
-    return _median_shallow(obs.join(hot, keys, "left_anti"), bands, keys).unionByName(
-        _median_deep(obs.join(hot, keys, "left_semi"), bands, keys)
-    )
+    return obs.groupBy(*keys).agg(*[F.median(b).alias(b) for b in bands])
 
 
-def build_composites(
-    obs: DataFrame, years: list[int] = c.YEARS, bands: list[str] = c.BANDS, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def build_composites(obs: DataFrame, years: list[int] = c.YEARS, bands: list[str] = c.BANDS) -> DataFrame:
     """Epoch, cloud mask, band choice, median, scale: every city and epoch in one plan.
 
     The scale is affine and increasing, so the median runs on the integer
@@ -185,4 +136,4 @@ def build_composites(
     sensor = "collection" if "collection" in obs.columns else None
     dated = mask_clouds(assign_epoch(obs, years, sensor_col=sensor), raw)
     named = harmonise_bands(dated, bands).select(*c.PIXEL, *bands)
-    return apply_scale_factors(median_by_pixel(named, bands, hot_rows=hot_rows), bands)
+    return apply_scale_factors(median_by_pixel(named, bands), bands)

@@ -2,100 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from groundshift.operators.small import settle
+from groundshift.operators.small import join_small, settle
 
-BINS = 4096
-LEAF_ROWS = 100_000
+ACCURACY = 50_000
 
 
-def exact_percentiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    probs: list[float],
-    bins: int = BINS,
-    leaf_rows: int = LEAF_ROWS,
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[float], accuracy: int = ACCURACY) -> DataFrame:
     """Linearly interpolated percentiles of ``value`` per group, missing values ignored.
 
-    Result: ``keys``, ``prob``, ``value``. The interval that holds the two
-    neighbouring ranks is narrowed by counting values in equal bins until few
-    values are left in it, so a group is never gathered or sorted as a whole.
+    Result: ``keys``, ``prob``, ``value``. A sketch brackets the two neighbouring
+    ranks; one more pass counts the values below the bracket and those inside,
+    by value, and reads off the ranks. So a group is never gathered or sorted,
+    whatever its size and values; infinite values count as the largest and
+    smallest. Should a bracket miss, it is widened, to the whole range at last.
+    Between two infinities of different sign there is no value (NULL).
     """
     vals = df.select(*keys, F.col(value).cast("double").alias("v")).where("v is not null and not isnan(v)")
-    spans = vals.groupBy(*keys).agg(F.count("*").alias("inside"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    at = F.col("prob") * (F.col("inside") - 1)
-    targets = settle(
-        spans.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("rank", F.floor(at))
-        .withColumn("part", at - F.floor(at))
-        .withColumn("below", F.lit(0).cast("bigint"))
-        .select(*keys, "prob", "rank", "part", "below", "inside", "lo", "hi")
+    margin, found, todo = 8.0 / accuracy, None, None
+    while True:
+        targets = settle(_brackets(vals if todo is None else join_small(vals, todo.select(*keys).distinct(), keys), keys, probs, margin, accuracy))
+        ranked = settle(_ranked(vals, targets, keys))
+        good = ranked.where("hit").select(*keys, "prob", "part", "a", "b")
+        if todo is not None:
+            good = good.join(todo.select(*keys, "prob"), [*keys, "prob"], "left_semi")
+        found = good if found is None else found.unionByName(good)
+        missed = ranked.where("not hit")
+        if todo is not None:
+            missed = missed.join(todo.select(*keys, "prob"), [*keys, "prob"], "left_semi")
+        if margin >= 1 or missed.isEmpty():
+            return found.select(*keys, "prob", _between(F.col("a"), F.col("b"), F.col("part")).alias("value"))
+        todo, margin = missed, margin * 64
+
+
+def _between(a: Column, b: Column, part: Column) -> Column:
+    apart = b - a
+    mixed = F.when(F.abs(apart) < float("inf"), a + apart * part).otherwise(a * (1 - part) + b * part)
+    return F.when((part == 0) | (a == b), a).otherwise(F.when(~F.isnan(mixed), mixed))
+
+
+def _brackets(vals: DataFrame, keys: list[str], probs: list[float], margin: float, accuracy: int) -> DataFrame:
+    """Per group and probability: the rank asked for, and values ``lo`` and ``hi`` around it."""
+    edges = [(max(0.0, p - margin), min(1.0, p + margin)) for p in probs]
+    sketch = F.percentile_approx("v", [e for pair in edges for e in pair], accuracy)
+    groups = vals.groupBy(*keys).agg(F.count("*").alias("n"), sketch.alias("q"), F.min("v").alias("least"), F.max("v").alias("most"))
+    rows = []
+    for i, (p, (low, high)) in enumerate(zip(probs, edges)):
+        at = F.lit(float(p)) * (F.col("n") - 1)
+        lo = F.col("least") if low == 0 else F.col("q")[2 * i]
+        hi = F.col("most") if high == 1 else F.col("q")[2 * i + 1]
+        rows.append(F.struct(F.lit(float(p)).alias("prob"), F.floor(at).alias("rank"), (at - F.floor(at)).alias("part"), lo.alias("lo"), hi.alias("hi")))
+    return groups.select(*keys, F.inline(F.array(*rows)))
+
+
+def _ranked(vals: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
+    """``a`` and ``b``, the values at the rank and after it; ``hit`` is false where the bracket misses them."""
+    target = [*keys, "prob", "rank", "part"]
+    side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
+    cells = (
+        vals.join(targets, keys)
+        .withColumn("side", side)
+        .groupBy(*target, "side", F.when(F.col("side") == 0, F.col("v")).alias("at"))
+        .agg(F.count("*").alias("n"), F.min("v").alias("v"))
     )
-    done = targets.where("lo = hi").select(*keys, "prob", "part", F.col("lo").alias("a"), F.col("hi").alias("b"))
-    todo = targets.where("lo < hi")
+    upto = F.sum("n").over(Window.partitionBy(*target).orderBy("side", "at"))
+    cells = cells.withColumn("last", upto - 1).withColumn("first", F.col("last") - F.col("n") + 1)
 
-    while not todo.where(F.col("inside") > leaf_rows).isEmpty():
-        state = _narrow(vals, todo, keys, bins)
-        done = done.unionByName(state.where("lo is null").select(*keys, "prob", "part", "a", "b"))
-        done = done.unionByName(
-            state.where("lo = hi").select(*keys, "prob", "part", F.col("lo").alias("a"), F.col("hi").alias("b"))
-        )
-        todo = state.where("lo < hi").select(*todo.columns)
+    def value(rank: Column) -> Column:
+        """Known inside the bracket, and where it is the smallest value above."""
+        inside = (F.col("side") == 0) & rank.between(F.col("first"), F.col("last"))
+        return F.max(F.when(inside | ((F.col("side") == 1) & (rank == F.col("first"))), F.col("v")))
 
-    done = done.unionByName(_leaf(vals, todo, keys))
-    return done.select(*keys, "prob", (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("value"))
-
-
-def _within(vals: DataFrame, todo: DataFrame, keys: list[str]) -> DataFrame:
-    return vals.join(todo, keys).where("v between lo and hi")
-
-
-def _narrow(vals: DataFrame, todo: DataFrame, keys: list[str], bins: int) -> DataFrame:
-    """One counting pass: each target's interval becomes the bin of its rank.
-
-    If the two ranks fall in different bins they are that bin's largest and the
-    next one's smallest value; then ``a`` and ``b`` hold the answer and ``lo``
-    is NULL.
-    """
-    target = [*keys, "prob"]
-    slot = F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins))
-    counted = (
-        _within(vals, todo, keys)
-        .groupBy(*target, "rank", "part", "below", slot.alias("slot"))
-        .agg(F.count("*").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-    )
-    upto = F.sum("n").over(Window.partitionBy(*target).orderBy("slot"))
-    ranged = counted.withColumn("first", F.col("below") + upto - F.col("n")).withColumn("last", F.col("first") + F.col("n") - 1)
-    lower = F.expr("rank between first and last")
-    upper = F.expr("rank + 1 between first and last")
-    same = F.max(F.when(lower & upper, F.lit(True)))
-    single = F.max(F.when(lower & (F.col("part") == 0), F.lit(True)))
-    inner = F.coalesce(same, single)
-    picked = ranged.where(lower | upper).groupBy(*target, "rank", "part").agg(
-        F.min(F.when(lower, F.col("first"))).alias("below"),
-        F.min(F.when(lower, F.col("n"))).alias("inside"),
-        F.when(inner, F.min(F.when(lower, F.col("mn")))).alias("lo"),
-        F.when(inner, F.max(F.when(lower, F.col("mx")))).alias("hi"),
-        F.max(F.when(lower, F.col("mx"))).alias("a"),
-        F.min(F.when(upper & ~lower, F.col("mn"))).alias("b"),
-    )
-    return settle(picked)
-
-
-def _leaf(vals: DataFrame, todo: DataFrame, keys: list[str]) -> DataFrame:
-    """The few values left per target, ranked."""
-    target = [*keys, "prob"]
-    place = F.col("below") + F.row_number().over(Window.partitionBy(*target).orderBy("v")) - 1
-    return (
-        _within(vals, todo, keys)
-        .withColumn("place", place)
-        .groupBy(*target, "part")
-        .agg(
-            F.max(F.when(F.col("place") == F.col("rank"), F.col("v"))).alias("a"),
-            F.max(F.when(F.col("place") == F.col("rank") + 1, F.col("v"))).alias("b"),
-        )
-        .withColumn("b", F.coalesce("b", "a"))
-    )
+    out = cells.groupBy(*target).agg(value(F.col("rank")).alias("a"), value(F.col("rank") + 1).alias("b"))
+    hit = F.col("a").isNotNull() & ((F.col("part") == 0) | F.col("b").isNotNull())
+    return out.select(*keys, "prob", "part", "a", F.coalesce("b", "a").alias("b"), hit.alias("hit"))

@@ -160,9 +160,12 @@ def balance_downsample(
 
 
 def hash_split(df: DataFrame, key: str = "sample_id", seed: int = 42, train: float = 0.8) -> DataFrame:
-    """Add ``part``: train or validation, decided by a seeded hash of the key."""
-    cut = f"{int(train * (1 << 32)):08x}"
-    return df.withColumn("part", F.when(_hash_key(key, F.lit(seed)) < cut, "train").otherwise("validation"))
+    """Add ``part``: train or validation, decided by a seeded hash of the key.
+
+    ``train`` is the share of training rows: 0 gives none, 1 all.
+    """
+    place = F.conv(F.substring(_hash_key(key, F.lit(seed)), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn("part", F.when(place < int(train * (1 << 32)), "train").otherwise("validation"))
 
 
 def random_split(df: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:

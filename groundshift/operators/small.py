@@ -2,26 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
 
-from groundshift.session import checkpointed
+from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_ROWS = 100_000
 MAX_BYTES = 32 << 20
+#: Assumed width of a value that is no string.
+VALUE_BYTES = 8
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row holds."""
+
+    def width(name: str, kind: str) -> Column:
+        col = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(col), F.lit(0))
+        return F.octet_length(F.to_json(F.struct(col))) if "<" in kind else F.lit(VALUE_BYTES)
+
+    return reduce(lambda a, b: a + b, [width(n, k) for n, k in df.dtypes], F.lit(VALUE_BYTES))
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once; mark it for broadcast only if it is small.
+    """Compute ``df`` once and keep it on the executors; mark it for broadcast only if it is small.
 
-    At most ``MAX_ROWS + 1`` rows reach the driver. A table within both bounds
-    comes back as a broadcast local relation. A larger one comes back as a
-    checkpoint without a hint: joins with it are left to adaptive execution,
-    which splits skewed partitions.
+    Rows and bytes are counted where they are, so nothing is collected to find
+    out. A larger table is kept as well and comes back without a hint: joins with
+    it are left to adaptive execution, which splits skewed partitions. What a
+    lost executor kept is computed again.
     """
-    head = df.limit(MAX_ROWS + 1).toArrow()
-    if head.num_rows <= MAX_ROWS and head.nbytes <= MAX_BYTES:
-        return F.broadcast(df.sparkSession.createDataFrame(head))
-    return checkpointed(df)
+    kept = df.persist()
+    size = kept.agg(F.count("*").alias("n"), F.sum(row_bytes(kept)).alias("b")).first()
+    return F.broadcast(kept) if size["n"] <= MAX_ROWS and (size["b"] or 0) <= MAX_BYTES else kept
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:

@@ -70,9 +70,13 @@ def subclass_year_means(df: DataFrame, features: list[str] = c.FEATURES) -> Data
 
 
 def spectral_fingerprint(df: DataFrame, features: list[str] = c.FEATURES, years: list[int] = c.YEARS) -> DataFrame:
-    """Mean spectra on the full epoch axis; epochs without samples are NULL."""
+    """Mean spectra on the full epoch axis; epochs without samples are NULL.
+
+    A subclass with samples outside the epochs only is left out.
+    """
     spectrum = F.struct(*features)
-    known = subclass_year_means(df, features).groupBy("subclass").agg(
+    means = subclass_year_means(df, features).where(F.col("yr").isin(years))
+    known = means.groupBy("subclass").agg(
         F.map_from_entries(F.collect_list(F.struct("yr", spectrum))).alias("by_year")
     )
     axis = known.withColumn("yr", F.explode(F.array(*map(F.lit, years))))
@@ -103,9 +107,9 @@ def correlation_matrix(df: DataFrame, features: list[str] = c.FEATURES, key: str
 def grouped_kde(df: DataFrame, group: str, value: str, points: int = 100) -> DataFrame:
     """Gaussian kernel density of each group on an even grid over its range.
 
-    Scott bandwidth ``n^(-1/5) * std``. Each value meets the grid points inside
-    its own task and only sums per group and point are shuffled. A group with
-    no spread has density 1 at its value.
+    Scott bandwidth ``n^(-1/5) * std``. All grid points are sums of one
+    aggregate, so a value makes no rows and only a row per group and task is
+    shuffled. A group with no spread has density 1 at its value.
     """
     vals = df.select(F.col(group), present(F.col(value).cast("double")).alias("v")).where(
         F.col(group).isNotNull() & F.col("v").isNotNull()
@@ -119,17 +123,21 @@ def grouped_kde(df: DataFrame, group: str, value: str, points: int = 100) -> Dat
             (F.stddev_samp("v") * F.pow(F.count("*").cast("double"), F.lit(-0.2))).alias("h"),
         )
     )
-    x = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / float(points - 1)
     varies = F.col("lo") < F.col("hi")
-    z = F.try_divide(x - F.col("v"), F.col("h"))
-    sums = (
-        vals.join(shape, group)
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .groupBy(group, "point")
-        .agg(F.sum(F.when(varies, F.exp(z * z * -0.5)).otherwise(F.lit(1.0))).alias("k"))
-    )
+
+    def at(point: Column | int) -> Column:
+        return F.col("lo") + (F.col("hi") - F.col("lo")) * point / float(points - 1)
+
+    def kernel(point: int) -> Column:
+        z = F.try_divide(at(point) - F.col("v"), F.col("h"))
+        return F.sum(F.when(varies, F.exp(z * z * -0.5)).otherwise(F.lit(1.0)))
+
+    wide = vals.join(shape, group).groupBy(group).agg(*[kernel(i).alias(f"k{i}") for i in range(points)])
+    sums = wide.select(group, F.posexplode(F.array(*[f"k{i}" for i in range(points)])).alias("point", "k"))
     norm = F.when(varies, F.col("n") * F.col("h") * math.sqrt(2 * math.pi)).otherwise(F.col("n"))
-    return sums.join(shape, group).select(group, "point", x.alias("x"), (F.col("k") / norm).alias("density"), "n", "mean")
+    return sums.join(shape, group).select(
+        group, "point", at(F.col("point")).alias("x"), (F.col("k") / norm).alias("density"), "n", "mean"
+    )
 
 
 def confusion(preds: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from groundshift.sources.raster import read_raster, write_raster
 from groundshift.sources.tables import (
     METRICS_SCHEMA,
     SAMPLE_COLUMNS,
+    SAMPLE_SCHEMA,
     read_metrics,
     read_samples_csv,
     read_samples_tolerant,
@@ -60,7 +61,7 @@ def training_set(spark: SparkSession, composite: str, candidates: str, out: str)
     """Sampled training rows as CSV; returns what was written."""
     rows = build_training_set(read_raster(spark, composite), spark.read.parquet(candidates))
     write_csv(rows.withColumnRenamed("yr", "year"), out, SAMPLE_COLUMNS)
-    return read_samples_csv(spark, out)
+    return read_samples_csv(spark, out, SAMPLE_SCHEMA)
 
 
 def train(spark: SparkSession, samples, models: str, city: str | None = None) -> Trained:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -13,8 +16,6 @@ def build_session(app: str = "groundshift", master: str | None = None, **conf: s
     """A session with the settings the operators are tuned for.
 
     Adaptive execution sizes the shuffle partitions and splits skewed joins.
-    The object-hash threshold lets the median stay hash based for more than
-    the default 128 pixels per task before it falls back to sorting.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -23,7 +24,6 @@ def build_session(app: str = "groundshift", master: str | None = None, **conf: s
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
         **conf,
     }
     for key, value in settings.items():
@@ -34,29 +34,35 @@ def build_session(app: str = "groundshift", master: str | None = None, **conf: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only a master with all its executors in one process may fall back to a
+    temporary folder of this machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_dir()
 
 
 @cache
 def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="groundshift-")
+    path = tempfile.mkdtemp(prefix="groundshift-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/groundshift-{name}-{uuid.uuid4().hex}"
+@cache
+def _own_dir(base: str, context) -> str:
+    """A folder of this application in the shared one, deleted with all in it when the application ends."""
+    path = f"{base}/groundshift-{uuid.uuid4().hex}"
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return path
 
 
-def checkpointed(df):
-    """Cut the lineage of ``df`` through the shared checkpoint folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{_own_dir(shared_dir(spark), spark.sparkContext)}/{name}-{uuid.uuid4().hex}"

@@ -44,7 +44,7 @@ def test_one_pixel_with_a_third_of_all_rows(spark):
     rng = random.Random(7)
     rows = [(0 if rng.random() < 0.33 else rng.randrange(1, 60), rng.choice([None, *range(50)]), rng.randrange(1000)) for _ in range(6000)]
     df = spark.createDataFrame(rows, "k int, a int, b int")
-    out = comp.median_by_pixel(df, ["a", "b"], ["k"], hot_rows=500).collect()
+    out = comp.median_by_pixel(df, ["a", "b"], ["k"]).collect()
     assert len(out) == len({r[0] for r in rows})
     for r in out:
         for i, name in ((1, "a"), (2, "b")):
@@ -52,15 +52,6 @@ def test_one_pixel_with_a_third_of_all_rows(spark):
             assert r[name] == (statistics.median(stack) if stack else None)
 
 
-def test_deep_pixels_are_found_by_estimate(spark, monkeypatch):
-    df = spark.range(40_000).selectExpr("if(id % 3 = 0, 0, cast(id as int)) as k", "cast(id % 1000 as int) as a")
-    monkeypatch.setattr(comp, "ESTIMATE_ROWS", 500)
-    assert [r.k for r in comp._deep_pixels(df, ["k"], 5_000).collect()] == [0]
-    out = comp.median_by_pixel(df, ["a"], ["k"], hot_rows=5_000)
-    stack = [i % 1000 for i in range(0, 40_000, 3)]
-    assert out.where("k = 0").first().a == statistics.median(stack) and out.count() == df.select("k").distinct().count()
-
-
 def test_epoch_windows_are_half_open_and_may_overlap(spark):
     days = [date(1988, 12, 31), date(1989, 1, 1), date(1991, 12, 30), date(1991, 12, 31), date(2000, 1, 1)]
     df = spark.createDataFrame([(d,) for d in days], "acq_date date")

@@ -88,6 +88,11 @@ def test_rescale_ignores_invalid_pixels_and_empty_rasters(spark):
     assert sorted(r.red for r in out.collect()) == [0.5, 5000.0, 7000.0]
 
 
+def test_a_raster_without_threshold_stops_the_job(spark, pixels):
+    with pytest.raises(Exception, match="no threshold for reno 1990"):
+        classify(pixels({("reno", 1990): [[0.5]]}, "urban_prob", "double").selectExpr("*", "true as valid")).collect()
+
+
 def test_threshold_is_met_in_single_precision(spark):
     rows = [("riverside", 2020, 0.63, True), ("riverside", 2020, 0.6299, True), ("austin", 1990, 0.35, True), ("austin", 1990, 1.0, False)]
     out = classify(values(spark, rows, "city string, yr int, urban_prob double, valid boolean"))

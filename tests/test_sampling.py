@@ -36,6 +36,12 @@ def test_sampling_does_not_depend_on_the_partitioning(spark):
     assert a.exceptAll(b).isEmpty() and a.count() == b.count() == 2500
 
 
+def test_split_shares_at_their_ends(spark):
+    df = spark.range(1000).withColumnRenamed("id", "sample_id")
+    train = [s.hash_split(df, train=share).where("part = 'train'").count() for share in (0.0, 1e-9, 0.5, 1.0 - 1e-9, 1.0)]
+    assert train[0] == train[1] == 0 and 400 < train[2] < 600 and train[3] == train[4] == 1000
+
+
 def test_balance_cases(spark):
     one = spark.range(10).selectExpr("id as sample_id", "0 as label")
     assert s.balance_downsample(one).count() == 10

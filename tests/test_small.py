@@ -7,12 +7,20 @@ def plan(df):
     return df._jdf.queryExecution().analyzed().toString()
 
 
-def test_small_table_becomes_a_broadcast_local_relation(spark):
+def test_small_table_is_kept_and_broadcast(spark):
     out = small.settle(spark.range(10).withColumnRenamed("id", "k"))
-    assert "LocalRelation" in plan(out) and "broadcast" in plan(out)
+    assert "broadcast" in plan(out)
     assert out.count() == 10
 
 
+def test_every_size_works_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr("groundshift.session.shared_dir", lambda s: 1 / 0)
+    table, big = spark.range(10).withColumnRenamed("id", "k"), spark.range(20).withColumnRenamed("id", "k")
+    for bound in (0, 5, 100):
+        monkeypatch.setattr(small, "MAX_ROWS", bound)
+        assert sorted(r.k for r in small.join_small(big, table, "k").collect()) == list(range(10))
+
+
 def test_table_over_the_bound_is_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(small, "MAX_ROWS", 5)
     table = spark.range(10).withColumnRenamed("id", "k")

@@ -1,5 +1,8 @@
 import gzip
 import os
+import subprocess
+import sys
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -50,7 +53,26 @@ def fake_session(master, folder=None):
 
 
 def test_a_cluster_must_name_its_shared_folder():
-    with pytest.raises(ValueError):
-        shared_dir(fake_session("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://h:7077"):
+        with pytest.raises(ValueError):
+            shared_dir(fake_session(master))
     assert shared_dir(fake_session("yarn", "hdfs://x/y")) == "hdfs://x/y"
     assert shared_dir(fake_session("local[4]")) == shared_dir(fake_session("local[4]"))
+
+
+def test_no_scratch_is_left():
+    code = """
+from groundshift.session import build_session, scratch_path
+spark = build_session("left", "local[1]", **{"spark.ui.enabled": "false"})
+path = scratch_path(spark, "x")
+spark.range(3).write.parquet(path)
+print("FOLDER", path)
+spark.stop()
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=os.getcwd())
+    folder = out.stdout.split("FOLDER ")[1].split()[0].removeprefix("file:")
+    for _ in range(100):  # the JVM cleans up as it ends
+        if not os.path.exists(folder):
+            break
+        time.sleep(0.1)
+    assert not os.path.exists(folder)
