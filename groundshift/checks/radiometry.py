@@ -10,6 +10,7 @@ from groundshift.checks.registry import query, r, rs, sql_rs
 from groundshift.functions import naming, radiometry as rad
 from groundshift.functions.dates import date_window
 from groundshift.functions.reporting import pct_display, pixels_to_km2, rounded
+from groundshift.plans.growth_report import growth_report
 from groundshift.operators.classify import (
     band_stats as band_stats_op,
     class_counts as class_counts_op,
@@ -162,7 +163,8 @@ def threshold_classify(spark, sf):
     return classified(spark, sf).select(*c.PIXEL, "urban_class")
 
 
-@query(f"select {KEY}, urban_class from {{cls}}")
+@query("""select f.city, f.yr, cast(f.px_row as int) as px_row, cast(f.px_col as int) as px_col, coalesce(urban_class, 255) as urban_class
+  from {cells} f left join {cls} k on k.city = f.city and k.yr = f.yr and k.px_row = f.px_row and k.px_col = f.px_col""")
 def scatter_full(spark, sf):
     scored = classified(spark, sf).where(F.col("urban_class") != c.NODATA)
     return scatter_op(scored, view(spark, sf, "px"))
@@ -197,7 +199,9 @@ def rescale_reflectance(spark, sf):
 
 
 @query(f"""select city, yr, cast(sum(case when {NOT_NULL} then 1 else 0 end) as bigint) as n_valid, count(*) as n_total,
-  round(sum(case when {NOT_NULL} then 1 else 0 end) * 100.0e0 / count(*), 9) as pct_valid from {{px}} group by city, yr""")
+  round(sum(case when {NOT_NULL} then 1 else 0 end) * 100.0e0 / count(*), 9) as pct_valid
+  from (select f.city, f.yr, red, green, blue, nir from {{cells}} f
+    left join {{px}} p on p.city = f.city and p.yr = f.yr and p.px_row = f.px_row and p.px_col = f.px_col) t group by city, yr""")
 def coverage(spark, sf):
     return coverage_op(view(spark, sf, "px")).withColumn("pct_valid", r("pct_valid"))
 
@@ -244,7 +248,13 @@ def _rounded_counts(df):
     return df.withColumns({n: r(n) for n in _SHARES})
 
 
-@query(_COUNTS + "from {cls} group by city, yr")
+def _on_cells(classes: str) -> str:
+    """Classes on every cell of the rasters; a cell without a pixel is no data."""
+    return f"""(select f.city, f.yr, coalesce(urban_class, 255) as urban_class from {{cells}} f
+  left join {classes} k on k.city = f.city and k.yr = f.yr and k.px_row = f.px_row and k.px_col = f.px_col) t"""
+
+
+@query(f"{_COUNTS} from {_on_cells('{cls}')} group by city, yr")
 def class_counts(spark, sf):
     return _rounded_counts(class_counts_op(classified(spark, sf)))
 
@@ -260,8 +270,20 @@ def ndvi_scorer(df):
     return df.withColumn("urban_prob", F.col("urban_prob") * 0.5 + (1.0 - F.col("ndvi")) * 0.25 + bright * 0.25)
 
 
-@query(f"""{_COUNTS} from (select t.city, t.yr, case when not valid then 255 when cast(urban_prob * 0.5e0 + (1.0e0 - ndvi) * 0.25e0
+_SCORED = f"""(select t.city, t.yr, t.px_row, t.px_col, case when not valid then 255 when cast(urban_prob * 0.5e0 + (1.0e0 - ndvi) * 0.25e0
     + ((red + green + blue) / 3.0e0) * 0.25e0 as float) >= cast(threshold as float) then 1 else 0 end as urban_class
-  from {_PREPARED} t join {{thr}} thr on t.city = thr.city and t.yr = thr.yr) k group by city, yr""")
+  from {_PREPARED} t join {{thr}} thr on t.city = thr.city and t.yr = thr.yr)"""
+
+
+@query(f"{_COUNTS} from {_on_cells(_SCORED)} group by city, yr")
 def classify_counts(spark, sf):
     return _rounded_counts(class_counts_op(classify_rasters(view(spark, sf, "px10k"), ndvi_scorer)))
+
+
+@query("""select g.city, g.yr, case when not (g.city = 'austin' and g.yr = 2000) then a.urban_area_km2 end as urban_area_km2
+  from (select city, yr from {regions} cross join {epochs}) g left join {area} a on a.city = g.city and a.yr = g.yr""")
+def masked_raster_area(spark, sf):
+    """A raster without a valid pixel is not classified: its area is missing, not 0."""
+    masked = (F.col("city") == "austin") & (F.col("yr") == 2000)
+    px = view(spark, sf, "px").withColumn("red", F.when(~masked, F.col("red")))
+    return growth_report(classify_rasters(px, lambda df: df)).select("city", "yr", "urban_area_km2")

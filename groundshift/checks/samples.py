@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from groundshift import config as c
@@ -98,9 +100,23 @@ def balance_exact(spark, sf):
     return s.balance_downsample(view(spark, sf, "sm")).select("sample_id", "label")
 
 
-@query()
+@query("""select count(*) as n_smaller, true as near_equal, true as each_once, true as all_given from {sm}
+  where label = (select label from {sm} group by label order by count(*), label limit 1)""")
 def balance_bernoulli(spark, sf):
-    return s.balance_downsample(view(spark, sf, "sm"), exact=False).groupBy("label").agg(F.count("*").alias("n"))
+    """The smaller class whole; of the larger as many, give or take six deviations of the draw; no row twice or made up."""
+    sm = view(spark, sf, "sm").select("sample_id", "label")
+    small = sm.groupBy("label").agg(F.count("*").alias("n")).orderBy("n", "label").first()
+    drawn = s.balance_downsample(sm, exact=False)
+    rows = drawn.groupBy("sample_id", "label").agg(F.count("*").alias("times")).join(sm.withColumn("given", F.lit(1)), ["sample_id", "label"], "left")
+    per = rows.groupBy("label").agg(F.sum("times").alias("n_drawn"), F.max("times").alias("most"), F.count("given").alias("n_given"))
+    kept = F.when(F.col("label") == small["label"], F.col("n_drawn"))
+    off = F.when(F.col("label") != small["label"], F.abs(F.col("n_drawn") - small["n"]))
+    return per.agg(
+        F.max(kept).alias("n_smaller"),
+        (F.max(off) <= 6 * math.sqrt(small["n"]) + 1).alias("near_equal"),
+        (F.max("most") == 1).alias("each_once"),
+        F.bool_and(F.col("n_given") == F.col("n_drawn")).alias("all_given"),
+    )
 
 
 @query("select sample_id, case when md5('42:' || sample_id) < 'cccccccc' then 'train' else 'validation' end as part from {sm}")

@@ -9,19 +9,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 from groundshift import config as c
 from groundshift.functions.radiometry import clamp, clip_negatives, is_valid, ndvi_safe, with_valid
 from groundshift.functions.reporting import pixels_to_km2
+from groundshift.operators.raster import all_cells, extent
 from groundshift.operators.small import join_small
 from groundshift.sources.dims import thresholds_df
 
 
-def rescale_reflectance(px: DataFrame, bands: list[str] = c.BANDS) -> DataFrame:
+def rescale_reflectance(px: DataFrame, bands: list[str] = c.BANDS, keep_empty: bool = True) -> DataFrame:
     """Bring each band of each raster to [0, 1] as its largest valid value suggests.
 
     Above 100: stored times 10000, so divide. Above 1: clamp. Otherwise, or
-    without a valid pixel, unchanged.
+    without a valid pixel, unchanged; without ``keep_empty`` a raster that has
+    no valid pixel is left out.
     """
     valid = is_valid(bands)
     tops = px.groupBy(*c.RASTER).agg(*[F.max(F.when(valid, F.col(b))).alias(f"_top_{b}") for b in bands])
-    joined = join_small(px, tops, c.RASTER, "left")
+    if not keep_empty:
+        tops = tops.where(F.col(f"_top_{bands[0]}").isNotNull())
+    joined = join_small(px, tops, c.RASTER, "left" if keep_empty else "inner")
 
     def fixed(b: str) -> Column:
         top, v = F.col(f"_top_{b}"), F.col(b)
@@ -30,9 +34,9 @@ def rescale_reflectance(px: DataFrame, bands: list[str] = c.BANDS) -> DataFrame:
     return joined.withColumns({b: fixed(b) for b in bands}).select(*px.columns)
 
 
-def prepare_features(px: DataFrame) -> DataFrame:
+def prepare_features(px: DataFrame, keep_empty: bool = True) -> DataFrame:
     """Validity flag, rescale, floor at zero, NDVI."""
-    ready = px.transform(with_valid).transform(rescale_reflectance).transform(clip_negatives)
+    ready = px.transform(with_valid).transform(rescale_reflectance, keep_empty=keep_empty).transform(clip_negatives)
     return ready.withColumn("ndvi", ndvi_safe(F.col("nir"), F.col("red")))
 
 
@@ -54,16 +58,32 @@ def classify(px: DataFrame, prob: str = "urban_prob") -> DataFrame:
     return with_threshold(px).withColumn("urban_class", urban_class(F.col(prob), F.col("threshold"), valid))
 
 
-def scatter_full(pred: DataFrame, px: DataFrame) -> DataFrame:
-    """Classes of the scored pixels on the full raster; the rest is no data."""
-    full = px.select(*c.PIXEL).join(pred.select(*c.PIXEL, "urban_class"), c.PIXEL, "left")
+def scatter_full(pred: DataFrame, px: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """Classes of the scored pixels on every cell of the raster; the rest is no data."""
+    cells = all_cells(extent(px) if sizes is None else sizes)
+    full = cells.join(pred.select(*c.PIXEL, "urban_class"), c.PIXEL, "left")
     return full.withColumn("urban_class", F.coalesce("urban_class", F.lit(c.NODATA)))
 
 
-def coverage(px: DataFrame, bands: list[str] = c.BANDS) -> DataFrame:
-    n, total = F.count_if(is_valid(bands)), F.count("*")
-    return px.groupBy(*c.RASTER).agg(
-        n.alias("n_valid"), total.alias("n_total"), F.try_divide(n * 100.0, total).alias("pct_valid")
+def _on_grid(counts: DataFrame, sizes: DataFrame | None) -> DataFrame:
+    """Turn ``height`` and ``width`` as seen into ``total``, the cells of the raster as given by ``sizes``."""
+    if sizes is not None:
+        counts = counts.drop("height", "width").join(sizes.select(*c.RASTER, "height", "width"), c.RASTER)
+    return counts.withColumn("total", F.col("height").cast("bigint") * F.col("width")).drop("height", "width")
+
+
+def coverage(px: DataFrame, bands: list[str] = c.BANDS, sizes: DataFrame | None = None) -> DataFrame:
+    """Valid pixels of each raster and their share of all its cells, with a row or without.
+
+    ``sizes`` (``city, yr, height, width``) tells the extent; otherwise it is as
+    far as the raster has rows.
+    """
+    counts = px.groupBy(*c.RASTER).agg(
+        F.count_if(is_valid(bands)).alias("n_valid"), (F.max("px_row") + 1).alias("height"), (F.max("px_col") + 1).alias("width")
+    )
+    total = F.col("total")
+    return _on_grid(counts, sizes).select(
+        *c.RASTER, "n_valid", total.alias("n_total"), F.try_divide(F.col("n_valid") * 100.0, total).alias("pct_valid")
     )
 
 
@@ -96,22 +116,29 @@ def prob_stats(scored: DataFrame, prob: str = "urban_prob") -> DataFrame:
     return _spread_of_valid(scored, {prob: "prob"})
 
 
-def class_counts(classified: DataFrame) -> DataFrame:
-    """Pixels per class; class shares of the valid pixels, no-data share of all."""
+def class_counts(classified: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """Pixels per class; class shares of the valid pixels, no-data share of all cells.
+
+    Cells without a row are no data; ``sizes`` as in ``coverage``.
+    """
     cls = F.col("urban_class")
     counts = classified.groupBy(*c.RASTER).agg(
         F.count_if(cls == 1).alias("urban_pixels"),
         F.count_if(cls == 0).alias("nonurban_pixels"),
-        F.count_if(cls == c.NODATA).alias("nodata_pixels"),
-        F.count("*").alias("total_pixels"),
+        (F.max("px_row") + 1).alias("height"),
+        (F.max("px_col") + 1).alias("width"),
     )
     valid = F.col("urban_pixels") + F.col("nonurban_pixels")
-    return counts.withColumns(
-        {
-            "urban_pct_valid": F.try_divide(F.col("urban_pixels") * 100.0, valid),
-            "nonurban_pct_valid": F.try_divide(F.col("nonurban_pixels") * 100.0, valid),
-            "nodata_pct": F.try_divide(F.col("nodata_pixels") * 100.0, F.col("total_pixels")),
-        }
+    counts = _on_grid(counts, sizes).withColumn("nodata_pixels", F.col("total") - valid)
+    return counts.select(
+        *c.RASTER,
+        "urban_pixels",
+        "nonurban_pixels",
+        "nodata_pixels",
+        F.col("total").alias("total_pixels"),
+        F.try_divide(F.col("urban_pixels") * 100.0, valid).alias("urban_pct_valid"),
+        F.try_divide(F.col("nonurban_pixels") * 100.0, valid).alias("nonurban_pct_valid"),
+        F.try_divide(F.col("nodata_pixels") * 100.0, F.col("total")).alias("nodata_pct"),
     )
 
 
@@ -125,6 +152,7 @@ def classify_rasters(px: DataFrame, scorer: Callable[[DataFrame], DataFrame]) ->
     """Prepare, score, threshold: all rasters at once, scored in place by key.
 
     ``scorer`` adds ``urban_prob``. Pixels that are not valid get 255 whatever
-    the scorer says, so no join back to the full raster is needed.
+    the scorer says, so no join back to the full raster is needed. Rasters
+    without a valid pixel are left out, so their area is missing, not 0.
     """
-    return px.transform(prepare_features).transform(scorer).transform(classify)
+    return px.transform(prepare_features, keep_empty=False).transform(scorer).transform(classify)

@@ -27,10 +27,29 @@ def unflatten(df: DataFrame, width) -> DataFrame:
 
 
 def extent(px: DataFrame) -> DataFrame:
-    """Height and width of each raster."""
+    """Height and width of each raster, as far as it has rows."""
     return px.groupBy(*c.RASTER).agg((F.max("px_row") + 1).alias("height"), (F.max("px_col") + 1).alias("width"))
 
 
+def grid_sizes(regions: DataFrame, years: list[int] = c.YEARS, step: float = c.STEP_DEGREES) -> DataFrame:
+    """Height and width of each city's export grid, for every epoch, observed or not.
+
+    A box that is a whole number of cells gets no line more for rounding.
+    """
+
+    def cells(low: str, high: str) -> Column:
+        return F.ceil(F.round((F.col(high) - F.col(low)) / step, 6)).cast("int")
+
+    epochs = F.explode(F.array(*map(F.lit, years))).alias("yr")
+    return regions.select("city", epochs, cells("lat_min", "lat_max").alias("height"), cells("lon_min", "lon_max").alias("width"))
+
+
+def all_cells(sizes: DataFrame) -> DataFrame:
+    """One row per cell of every raster, made line by line."""
+    lines = sizes.select(*c.RASTER, F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("px_row"), "width")
+    return lines.select(*c.RASTER, "px_row", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("px_col"))
+
+
 def chunk_id(px: DataFrame, size: int = 200_000) -> DataFrame:
     """Ordinal of each valid pixel in row-major order, and its batch.
 

@@ -11,6 +11,7 @@ from groundshift.operators.composite import build_composites, composite_jobs, gr
 from groundshift.operators.growth import active
 from groundshift.operators.model import ERAS, load_model, save_model, score_by_era
 from groundshift.operators.sampling import build_training_set, clean_samples, normalise_samples, with_row_key
+from groundshift.operators.raster import grid_sizes
 from groundshift.plans.growth_report import growth_report
 from groundshift.plans.training import Trained, train_models
 from groundshift.sources.dims import grid_df, regions_df
@@ -45,7 +46,7 @@ def composites(
     if scenes:
         rows = grid_observations(rows, spark.read.parquet(scenes), active(regions_df(spark), cities))
     write_raster(build_composites(active(rows, cities), years), out)
-    return coverage(read_raster(spark, out))
+    return coverage(read_raster(spark, out), sizes=grid_sizes(regions_df(spark), years))
 
 
 def composite_status(
@@ -81,7 +82,7 @@ def classify(spark: SparkSession, composite: str, models: str, out: str) -> Data
     loaded = {era: load_model(f"{models}/{MODEL_NAMES[era]}") for era in ERAS}
     scored = classify_rasters(read_raster(spark, composite), lambda px: score_by_era(px, loaded))
     write_raster(scored.select(*c.PIXEL, "urban_class", "urban_prob"), out)
-    return class_counts(read_raster(spark, out))
+    return class_counts(read_raster(spark, out), grid_sizes(regions_df(spark)))
 
 
 def metrics(spark: SparkSession, classified: str, out: str) -> DataFrame:

@@ -14,7 +14,7 @@ TILE = [*c.RASTER, "tile_row", "tile_col"]
 def pixels_to_tiles(px: DataFrame, bands: list[str], tile: int = 256, nodata=c.NODATA) -> DataFrame:
     """Full-extent tiles of row-major band arrays; absent and missing pixels hold ``nodata``.
 
-    Edge tiles are cut to the raster (``tile_h`` x ``tile_w``). One seed row per
+    A pixel given twice stops the job. Edge tiles are cut to the raster (``tile_h`` x ``tile_w``). One seed row per
     tile makes tiles without a pixel appear, so a single shuffle on the tile key
     does everything.
     """
@@ -53,6 +53,9 @@ def pixels_to_tiles(px: DataFrame, bands: list[str], tile: int = 256, nodata=c.N
     filler = F.transform(
         holes, lambda p: F.struct(p.alias("pos"), *[F.lit(nodata).cast(kinds[b]).alias(b) for b in bands])
     )
+    twice = F.size(F.array_distinct("cells.pos")) < F.size("cells.pos")
+    place = F.concat_ws(" ", F.lit("a pixel is given twice in tile"), *[F.col(n).cast("string") for n in TILE])
+    packed = packed.withColumn("cells", F.when(twice, F.raise_error(place).cast(packed.schema["cells"].dataType)).otherwise(F.col("cells")))
     cell_type = f"array<{pixels.schema['cell'].dataType.simpleString()}>"
     full = F.sort_array(F.concat(F.col("cells").cast(cell_type), filler.cast(cell_type)))
     return packed.withColumn("cells", full).select(*TILE, "tile_h", "tile_w", *[F.col(f"cells.{b}").alias(b) for b in bands])

@@ -80,6 +80,20 @@ def test_tiles_hold_the_whole_extent(spark, pixels):
     assert (got == want).all() and back.count() == 70
 
 
+def test_a_repeated_pixel_stops_the_job(spark, pixels):
+    px = pixels({("a", 1990): [[1, 2], [3, 4]]})
+    assert pixels_to_tiles(px, ["urban_class"], 2).count() == 1
+    with pytest.raises(Exception, match="given twice in tile a 1990 0 0"):
+        pixels_to_tiles(px.union(px.limit(1)), ["urban_class"], 2).collect()
+
+
+def test_grid_sizes_do_not_depend_on_what_was_seen(spark):
+    boxes = spark.createDataFrame([("a", 0.0, 0.0, 10 * c.STEP_DEGREES, 3.5 * c.STEP_DEGREES)], "city string, lon_min double, lat_min double, lon_max double, lat_max double")
+    sizes = ras.grid_sizes(boxes, [1990, 2000])
+    assert sorted(tuple(r) for r in sizes.collect()) == [("a", 1990, 4, 10), ("a", 2000, 4, 10)]
+    assert ras.all_cells(sizes).distinct().count() == 80
+
+
 def test_chunks_follow_row_major_order(spark, monkeypatch):
     monkeypatch.setattr(ras, "LINE_BLOCK", 4)
     rows = [("a", 1990, i, j, 0.1 if (i * 11 + j) % 5 else None) for i in range(6) for j in range(11)]
