@@ -33,13 +33,38 @@ def scenes_in_region(spark, sf):
     return comp.scenes_by_region(view(spark, sf, "scenes"), regions_df(spark)).select("scene_id", "city")
 
 
-@query(f"""select h.scene_id, r.city, strftime(s.acq_date, '%Y-%m-%d') as acq_date, s.collection,
-  cast(floor((r.lat_max - lat) / {STEP}) as int) as px_row, cast(floor((lon - r.lon_min) / {STEP}) as int) as px_col, sr_b1, sr_b5, qa_pixel
+_BANDS = ", ".join(c.RAW_BANDS)
+_PLACED = f"""(select h.scene_id, r.city, s.acq_date, s.collection, cast(floor((r.lat_max - lat) / {STEP}) as int) as px_row,
+  cast(floor((lon - r.lon_min) / {STEP}) as int) as px_col, {_BANDS}, qa_pixel
   from {{shots}} h join {{scenes}} s on s.scene_id = h.scene_id join {{regions}} r on {MEETS}
-  where lon between r.lon_min and r.lon_max and lat between r.lat_min and r.lat_max""")
+  where lon between r.lon_min and r.lon_max and lat between r.lat_min and r.lat_max)"""
+_DAY = "strftime(acq_date, '%Y-%m-%d') as acq_date"
+
+
+def _day(df):
+    return df.withColumn("acq_date", F.col("acq_date").cast("string"))
+
+
+@query(f"select * replace ({_DAY}) from {_PLACED} t")
 def grid_observations(spark, sf):
-    out = comp.grid_observations(view(spark, sf, "shots"), view(spark, sf, "scenes"), regions_df(spark))
-    return out.select("scene_id", "city", F.col("acq_date").cast("string").alias("acq_date"), "collection", "px_row", "px_col", "sr_b1", "sr_b5", "qa_pixel")
+    return _day(comp.grid_observations(view(spark, sf, "shots"), view(spark, sf, "scenes"), regions_df(spark)))
+
+
+# source pixels of 0.0011 by 0.0009 degrees: the cells whose centres lie in them, clipped to the region
+_SIDES = {"px_row": ("r.lat_max - lat", "0.0009e0", "(r.lat_max - r.lat_min)"), "px_col": ("lon - r.lon_min", "0.0011e0", "(r.lon_max - r.lon_min)")}
+_RANGES = {
+    n: f"range(cast(greatest(0, ceil(({d} - {size} / 2) / {STEP} - 0.5e0)) as bigint), "
+    f"cast(least(ceil(round({span} / {STEP}, 6)), ceil(({d} + {size} / 2) / {STEP} - 0.5e0)) as bigint))"
+    for n, (d, size, span) in _SIDES.items()
+}
+
+
+@query(f"""select scene_id, city, {_DAY}, collection, cast(px_row as int) as px_row, cast(unnest(cols) as int) as px_col, {_BANDS}, qa_pixel from (
+  select h.scene_id, r.city, s.acq_date, s.collection, unnest({_RANGES['px_row']}) as px_row, {_RANGES['px_col']} as cols, {_BANDS}, qa_pixel
+  from {{shots}} h join {{scenes}} s on s.scene_id = h.scene_id join {{regions}} r on {MEETS}) t""")
+def grid_fill(spark, sf):
+    shots = view(spark, sf, "shots").withColumns({"lon_size": F.lit(0.0011), "lat_size": F.lit(0.0009)})
+    return _day(comp.grid_observations(shots, view(spark, sf, "scenes"), regions_df(spark)))
 
 
 @query(f"""select r.city, r.lon_min, r.lat_min, r.lon_max, r.lat_max, count(s.scene_id) as n_scenes
@@ -127,6 +152,14 @@ def median_composite(spark, sf):
     return comp.build_composites(view(spark, sf, "obs")).select(*c.PIXEL, *rs(c.BANDS))
 
 
+@query(_COMPOSITE.replace("{dated}", f"""(select p.*, e.yr from {_PLACED} p join {{epochs}} e on e.sensor = p.collection
+  and acq_date >= make_date(cast(e.yr - 1 as bigint), 1, 1) and acq_date < make_date(cast(e.yr + 1 as bigint), 12, 31)) d"""))
+def scene_composite(spark, sf):
+    """The whole chain: raw observations and scenes to composites of the epoch's own sensor."""
+    placed = comp.grid_observations(view(spark, sf, "shots"), view(spark, sf, "scenes"), regions_df(spark))
+    return comp.build_composites(placed).select(*c.PIXEL, *rs(c.BANDS))
+
+
 _HOT = "case when scene_id % 3 = 0 and city = 'riverside' then 0 else {0} end as {0}"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from groundshift import config as c
 from groundshift.functions.dates import window_dates
 from groundshift.functions.radiometry import apply_scale_factors, harmonise_bands, mask_clouds
-from groundshift.operators.raster import clip_box, snap_to_grid
+from groundshift.operators.raster import clip_box, fill_grid, snap_to_grid
 from groundshift.operators.small import join_small
 
 BOX = ["lon_min", "lat_min", "lon_max", "lat_max"]
@@ -95,12 +95,16 @@ def grid_observations(obs: DataFrame, scenes: DataFrame, regions: DataFrame) ->
     """Observations at lon/lat to pixels of every region their scene meets.
 
     ``obs`` has ``scene_id``, ``lon``, ``lat`` and the bands; date and sensor come
-    from the scene. What lies outside the region is clipped away.
+    from the scene. With ``lon_size`` and ``lat_size``, the extent of a source
+    pixel in degrees, an observation fills every grid cell whose centre lies in
+    it; without, only the cell it lies in. What is outside the region is left out.
     """
     meta = [n for n in ("acq_date", "collection") if n in scenes.columns and n not in obs.columns]
     pairs = scenes_by_region(scenes, regions).select("scene_id", "city", *meta)
-    inside = join_small(obs, pairs, "scene_id").transform(clip_box, regions)
-    return snap_to_grid(inside, regions).drop("lon", "lat")
+    placed = join_small(obs, pairs, "scene_id")
+    if {"lon_size", "lat_size"} <= set(obs.columns):
+        return fill_grid(placed, regions).drop("lon", "lat", "lon_size", "lat_size")
+    return snap_to_grid(placed.transform(clip_box, regions), regions).drop("lon", "lat")
 
 
 def composite_jobs(grid: DataFrame, counts: DataFrame) -> DataFrame:

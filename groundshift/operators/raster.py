@@ -183,6 +183,29 @@ def snap_to_grid(points: DataFrame, regions: DataFrame, scale_m: float = c.PIXEL
     ).drop("_x0", "_y1")
 
 
+def fill_grid(points: DataFrame, regions: DataFrame, scale_m: float = c.PIXEL_METRES) -> DataFrame:
+    """Every cell of the city's export grid whose centre lies in a source pixel.
+
+    ``points`` has the pixel's centre (``lon``, ``lat``) and size in degrees
+    (``lon_size``, ``lat_size``). Western and northern edges belong to a pixel,
+    the others to the next one, so a gapless scene fills each cell once. Cells
+    outside the region are not made.
+    """
+    step = scale_m / c.METRES_PER_DEGREE
+    sizes = grid_sizes(regions, [0], step).drop("yr").withColumnsRenamed({"height": "_h", "width": "_w"})
+    corner = regions.select("city", F.col("lon_min").alias("_x0"), F.col("lat_max").alias("_y1")).join(sizes, "city")
+
+    def cells(distance: Column, size: str, n: str) -> Column:
+        """Positions whose centre is at least ``distance`` minus half the size from the edge, and less than plus half."""
+        first = F.greatest(F.ceil((distance - F.col(size) / 2) / step - 0.5), F.lit(0)).cast("int")
+        stop = F.least(F.ceil((distance + F.col(size) / 2) / step - 0.5), F.col(n)).cast("int")
+        return F.explode(F.when(first < stop, F.sequence(first, stop - 1)).otherwise(F.array().cast("array<int>")))
+
+    placed = join_small(points, corner, "city").withColumn("px_row", cells(F.col("_y1") - F.col("lat"), "lat_size", "_h"))
+    placed = placed.withColumn("px_col", cells(F.col("lon") - F.col("_x0"), "lon_size", "_w"))
+    return placed.drop("_x0", "_y1", "_h", "_w")
+
+
 def clip_box(df: DataFrame, boxes: DataFrame) -> DataFrame:
     """Rows whose lon/lat lies in the box of their city."""
     edges = boxes.select("city", *[F.col(n).alias(f"_{n}") for n in ("lon_min", "lat_min", "lon_max", "lat_max")])

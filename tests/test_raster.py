@@ -118,6 +118,20 @@ def test_snap_is_the_inverse_of_centres(spark):
     assert out.where("px_row != r0 or px_col != c0").isEmpty() and out.count() == 200
 
 
+@pytest.mark.parametrize("lat", [30.1, 35.95, 41.0])
+def test_a_gapless_scene_fills_every_cell_once(spark, lat):
+    lon, span, size = -112.0, 0.02, (0.000325, 0.00027)
+    box = spark.createDataFrame([("a", lon, lat, lon + span, lat + span)], "city string, lon_min double, lat_min double, lon_max double, lat_max double")
+    n = int(span / size[1]) + 4
+    shots = spark.range(n * n).selectExpr(
+        "'a' as city", f"{lon - size[0] / 3} + (id % {n}) * {size[0]} as lon", f"{lat + span + size[1] / 3} - floor(id / {n}) * {size[1]} as lat",
+        f"double({size[0]}) as lon_size", f"double({size[1]}) as lat_size",
+    )
+    cells = ras.fill_grid(shots, box)
+    sizes = ras.grid_sizes(box, [0]).first()
+    assert cells.count() == cells.select("px_row", "px_col").distinct().count() == sizes.height * sizes.width
+
+
 def test_overlay_from_one_table_equals_the_join(spark):
     px = spark.range(400).selectExpr(
         "'a' as city", "1990 as yr", "cast(id / 20 as int) as px_row", "cast(id % 20 as int) as px_col",
