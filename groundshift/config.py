@@ -33,6 +33,14 @@ REGIONS = {
 SENSORS = {1990: "LT05", 2000: "LT05", 2010: "LE07", 2020: "LC08"}
 
 RAW_BANDS = ["sr_b1", "sr_b2", "sr_b3", "sr_b4", "sr_b5"]
+# file formats: columns of the sample files, those that charts need, and the metrics file
+SAMPLE_SCHEMA = "red double, green double, blue double, nir double, ndvi double, label int, city string, year int, subclass string"
+SAMPLE_COLUMNS = ["red", "green", "blue", "nir", "ndvi", "label", "city", "year", "subclass"]
+DASHBOARD_COLUMNS = ["year", "subclass", "red", "green", "blue", "nir", "ndvi"]
+METRICS_SCHEMA = (
+    "city string, year int, urban_area_km2 double, growth_km2 double, growth_pct double, growth_pct_display string"
+)
+
 BANDS = ["red", "green", "blue", "nir"]
 FEATURES = ["red", "green", "blue", "nir", "ndvi"]
 

@@ -8,13 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from groundshift import config as c
-
-SAMPLE_SCHEMA = "red double, green double, blue double, nir double, ndvi double, label int, city string, year int, subclass string"
-SAMPLE_COLUMNS = ["red", "green", "blue", "nir", "ndvi", "label", "city", "year", "subclass"]
-DASHBOARD_COLUMNS = ["year", "subclass", "red", "green", "blue", "nir", "ndvi"]
-METRICS_SCHEMA = (
-    "city string, year int, urban_area_km2 double, growth_km2 double, growth_pct double, growth_pct_display string"
-)
+from groundshift.config import DASHBOARD_COLUMNS, METRICS_SCHEMA, SAMPLE_COLUMNS, SAMPLE_SCHEMA  # noqa: F401
 
 
 def read_samples_csv(spark: SparkSession, paths, schema: str | None = None) -> DataFrame:
