@@ -168,7 +168,7 @@ def neighbour_graph(codes: DataFrame, degree: int = DEGREE) -> DataFrame:
         member = member.join(fresh.withColumnRenamed("a", "meeting"), "meeting", "left_semi")
         finds = met(member.join(known, "node")).withColumn("new", F.lit(1))
         links = stored(best_of(links.withColumn("new", F.lit(0)).unionByName(finds), degree), "graph")
-        if links.where("new = 1").count() < STILL * n * degree:
+        if links.where("new = 1").count() <= STILL * n * degree:
             break
     return links.select("a", "b", "s")
 
