@@ -45,46 +45,46 @@ Arc = tuple[int, bytes, float]
 NEVER = -math.inf
 
 
-def best_paths(arcs: list[list[Arc]], n: int) -> list[Path]:
+def forward(arcs: list[list[Arc]]) -> list[float]:
+    """The best score of a path from node 0 to every node."""
+    ahead = [0.0]
+    for into in arcs[1:]:
+        ahead.append(max([ahead[i] + score for i, _, score in into], default=NEVER))
+    return ahead
+
+
+def best_paths(arcs: list[list[Arc]], n: int, ahead: list[float] | None = None) -> list[Path]:
     """The ``n`` best paths from node 0 to the last node, best first.
 
-    ``arcs[j]`` holds ``(i, label, score)`` for every arc from ``i`` to ``j``, ``i < j``.
-    As the rest costs are exact, every open path will end with its estimate, so
-    no more of them are kept open than paths are still missing.
+    ``arcs[j]`` holds ``(i, label, score)`` for every arc from ``i`` to ``j``, ``i < j``;
+    ``ahead`` is ``forward(arcs)``. As the rest costs are exact, every open path
+    will end with its estimate, so no more of them are kept open than paths are
+    still missing, and the best arc is followed at once.
     """
-    ahead = [0.0]
-    for into in arcs[1:]:
-        best = NEVER
-        for i, _, score in into:
-            if (total := ahead[i] + score) > best:
-                best = total
-        ahead.append(best)
+    ahead = ahead or forward(arcs)
     found: list[Path] = []
     agenda = [(ahead[-1], 0, len(arcs) - 1, 0.0, ())]  # the best comes last
-    serial, least = 0, NEVER
-    while agenda:
+    serial = 0
+    while agenda and len(found) < n:
         _, _, node, done, path = agenda.pop()
+        missing = n - len(found) - 1  # open paths that may still be needed beside this one
+        del agenda[: max(0, len(agenda) - missing)]
         while node:
-            # the best arc is followed at once, the others wait
-            missing, best, follow = n - len(found), NEVER, None
-            if len(agenda) >= missing:
-                least = agenda[len(agenda) - missing][0]
-                del agenda[: len(agenda) - missing]
+            into = arcs[node]
+            if len(into) == 1:
+                node, label, score = into[0]
             else:
-                least = NEVER
-            for arc in arcs[node]:
-                estimate = done + arc[2] + ahead[arc[0]]
-                if estimate > best:
-                    best, arc, follow = estimate, follow, arc
-                    if arc is None:
-                        continue
-                    estimate = done + arc[2] + ahead[arc[0]]
-                if missing > 1 and estimate > least:
-                    serial -= 1
-                    insort(agenda, (estimate, serial, arc[0], done + arc[2], (arc[1], path)))
-                    if len(agenda) >= missing:
-                        least = agenda[len(agenda) - missing][0]
-            node, label, score = follow
+                ranked = [done + arc[2] + ahead[arc[0]] for arc in into]
+                best = max(ranked)
+                at = ranked.index(best)
+                if missing:
+                    for k, estimate in enumerate(ranked):
+                        if k != at and (len(agenda) < missing or estimate > agenda[0][0]):
+                            arc, serial = into[k], serial - 1
+                            insort(agenda, (estimate, serial, arc[0], done + arc[2], (arc[1], path)))
+                            if len(agenda) > missing:
+                                del agenda[0]
+                node, label, score = into[at]
             done += score
             path = (label, path)
         labels = []
@@ -92,8 +92,6 @@ def best_paths(arcs: list[list[Arc]], n: int) -> list[Path]:
             labels.append(path[0])
             path = path[1]
         found.append((b"".join(labels), done))
-        if len(found) == n:
-            break
     return found
 
 
@@ -119,57 +117,69 @@ class Pieces:
                 self.text[i] = piece.replace(SPACE, " ").encode()
                 for k in range(1, len(piece)):
                     self.arcs.setdefault(piece[:k], ())
-        self.words = Memo(self._word)
+        self.words = Memo(self._word, 300_000)
 
-    def lattice(self, word: str) -> list[list[Arc]]:
-        """Arcs into every position of ``word``, in which spaces are U+2581 already."""
+    def lattice(self, word: str) -> tuple[list[list[Arc]], list[float]]:
+        """Arcs into every position of ``word``, in which spaces are U+2581 already, and its forward scores."""
         end, get = len(word), self.arcs.get
         into: list[list[Arc]] = [[] for _ in range(end + 1)]
+        ahead = [0.0] + [NEVER] * end
         for i in range(end):
-            j = i + 1
-            if not (arc := get(word[i])):
-                octets = [self.bytes[b] for b in word[i].encode()]
-                into[j].append((i, b"".join([b for b, _ in octets]), sum([s for _, s in octets])))
-                if arc is None:
-                    continue
+            j, base = i + 1, ahead[i]
+            if arc := get(word[i]):
+                label, score = arc
             else:
-                into[j].append((i, arc[0], arc[1]))
+                octets = [self.bytes[b] for b in word[i].encode()]
+                label, score = b"".join([b for b, _ in octets]), sum([s for _, s in octets])
+            into[j].append((i, label, score))
+            if base + score > ahead[j]:
+                ahead[j] = base + score
+            if arc is None:
+                continue
             while j < end:
                 j += 1
                 if (arc := get(word[i:j])) is None:
                     break
                 if arc:
-                    into[j].append((i, arc[0], arc[1]))
-        return into
-
-    def _word(self, word: str) -> tuple[bytes, float, float, list[Path]]:
-        paths = best_paths(self.lattice(SPACE + word.replace(" ", SPACE)), self.nbest)
-        loss = paths[0][1] - paths[1][1] if len(paths) > 1 else math.inf
-        return (*paths[0], loss, paths)
+                    label, score = arc
+                    into[j].append((i, label, score))
+                    if base + score > ahead[j]:
+                        ahead[j] = base + score
+        return into, ahead
+
+    def paths(self, word: str, n: int) -> list[Path]:
+        """The ``n`` best segmentations of a word behind its space."""
+        arcs, ahead = self.lattice(SPACE + word.replace(" ", SPACE))
+        return best_paths(arcs, n, ahead)
+
+    def _word(self, word: str) -> tuple[bytes, float, float]:
+        """The best segmentation's ids and score, and what a second choice loses."""
+        found = self.paths(word, min(2, self.nbest))
+        return (*found[0], found[0][1] - found[1][1] if len(found) > 1 else math.inf)
 
     def segmentations(self, text: str) -> list[Path]:
         """The N best segmentations of a text: ids and score, best first."""
         if not text:
             return [(b"", 0.0)]
         line = " " + text.replace(SPACE, " ")
-        words = list(map(self.words.__getitem__, _CHUNK.findall(line) if "  " in line else line[1:].split(" ")))
-        labels = [w[0] for w in words]
-        score = math.fsum([w[1] for w in words])
+        words = _CHUNK.findall(line) if "  " in line else line[1:].split(" ")
+        labels, scores, losses = map(list, zip(*map(self.words.__getitem__, words)))
+        score = math.fsum(scores)
         if self.nbest == 1:
             return [(b"".join(labels), score)]
-        losses = np.array([w[2] for w in words])
+        losses = np.array(losses)
         few = min(self.nbest - 1, len(words))
         cut = np.partition(losses, few - 1)[few - 1]
         free = np.sort(np.concatenate([np.flatnonzero(losses < cut), np.flatnonzero(losses == cut)])[:few])
         free = [int(i) for i in free if losses[i] < math.inf]
-        chain: list[list[tuple[int, bytes, float]]] = [[]]
-        for k, i in enumerate(free):
-            best = words[i][1]
-            chain.append([(k, bytes([nth]), path[1] - best) for nth, path in enumerate(words[i][3])])
+        choices = [self.paths(words[i], self.nbest) for i in free]
+        chain: list[list[Arc]] = [[]]
+        for k, paths in enumerate(choices):
+            chain.append([(k, bytes([nth]), path[1] - paths[0][1]) for nth, path in enumerate(paths)])
         out = []
         for choice, loss in best_paths(chain, self.nbest):
-            for i, nth in zip(free, choice, strict=True):
-                labels[i] = words[i][3][nth][0]
+            for i, paths, nth in zip(free, choices, choice, strict=True):
+                labels[i] = paths[nth][0]
             out.append((b"".join(labels), score + loss))
         return out
 
