@@ -124,20 +124,21 @@ def grouped_kde(df: DataFrame, group: str, value: str, points: int = 100) -> Dat
         )
     )
     varies = F.col("lo") < F.col("hi")
-
-    def at(point: Column | int) -> Column:
-        return F.col("lo") + (F.col("hi") - F.col("lo")) * point / float(points - 1)
+    scaled = vals.join(shape, group).select(
+        group,
+        F.when(varies, (F.col("v") - F.col("lo")) / F.col("h")).otherwise(0.0).alias("u"),
+        F.when(varies, (F.col("hi") - F.col("lo")) / float(points - 1) / F.col("h")).otherwise(0.0).alias("step"),
+    )
 
     def kernel(point: int) -> Column:
-        z = F.try_divide(at(point) - F.col("v"), F.col("h"))
-        return F.sum(F.when(varies, F.exp(z * z * -0.5)).otherwise(F.lit(1.0)))
+        z = F.col("step") * float(point) - F.col("u")
+        return F.sum(F.exp(z * z * -0.5))
 
-    wide = vals.join(shape, group).groupBy(group).agg(*[kernel(i).alias(f"k{i}") for i in range(points)])
+    wide = scaled.groupBy(group).agg(*[kernel(i).alias(f"k{i}") for i in range(points)])
     sums = wide.select(group, F.posexplode(F.array(*[f"k{i}" for i in range(points)])).alias("point", "k"))
     norm = F.when(varies, F.col("n") * F.col("h") * math.sqrt(2 * math.pi)).otherwise(F.col("n"))
-    return sums.join(shape, group).select(
-        group, "point", at(F.col("point")).alias("x"), (F.col("k") / norm).alias("density"), "n", "mean"
-    )
+    x = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / float(points - 1)
+    return sums.join(shape, group).select(group, "point", x.alias("x"), (F.col("k") / norm).alias("density"), "n", "mean")
 
 
 def confusion(preds: DataFrame) -> DataFrame:
