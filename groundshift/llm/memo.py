@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterable
 from typing import Any
 
 
@@ -17,13 +17,20 @@ class Memo(dict):
         super().__init__()
         self.fn, self.limit, self.longest, self.older = fn, limit, longest, {}
 
-    def __missing__(self, key: Hashable):
-        value = self.older.get(key)
-        if value is None:
-            value = self.fn(key)
+    def missing(self, keys: Iterable[Hashable]) -> list:
+        """The distinct keys that have no value."""
+        return [k for k in set(keys) if k not in self and k not in self.older]
+
+    def put(self, key: Hashable, value: Any) -> None:
         if len(key) <= self.longest:
             if len(self) * 2 >= self.limit:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
+
+    def __missing__(self, key: Hashable):
+        value = self.older.get(key)
+        if value is None:
+            value = self.fn(key)
+        self.put(key, value)
         return value

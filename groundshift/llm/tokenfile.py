@@ -45,7 +45,7 @@ INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<
 TAIL = np.dtype([("at", "<u8"), ("docs", "<u8")])
 #: Documents that the dictionary is trained on, ids read of each, and its size.
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 2000, 4096, 64 << 10
-_BOUNDARY = re.compile(r" (?=\S)")
+_BOUNDARY, _NO_BOUNDARY = re.compile(r" (?=\S)"), re.compile(r" (?!\S)")
 
 
 class Encoder:
@@ -53,7 +53,8 @@ class Encoder:
 
     The pattern that splits a text before the merges starts a new piece at every
     space that a non-space follows, so the parts between such spaces are encoded
-    by themselves and kept for the next time.
+    by themselves and kept for the next time. A text's new parts are encoded in
+    one call: each begins with the only token that starts with its space.
     """
 
     def __init__(self, tokenizer_file: str, end: int):
@@ -62,15 +63,33 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.end = end.to_bytes(4, "little")
-        self.parts = Memo(lambda part: self._ids(" " + part), 500_000)
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        size = max(self.tokenizer.get_vocab().values()) + 1
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
+        self.parts = Memo(lambda part: self._ids(" " + part).tobytes(), 500_000)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, parts: list[str]) -> None:
+        plain = [p for p in parts if " " not in p]
+        ids = self._ids(" " + " ".join(plain))
+        starts = np.flatnonzero(self.opens[ids]).tolist()
+        if len(starts) == len(plain):
+            octets = ids.tobytes()
+            for part, at, stop in zip(plain, starts, [*starts[1:], len(ids)], strict=True):
+                self.parts.put(part, octets[4 * at : 4 * stop])
 
     def __call__(self, text: str | None) -> bytes:
         """The ids of a text and the end id."""
-        first, *rest = _BOUNDARY.split(text or "")
-        return self._ids(first) + b"".join(map(self.parts.__getitem__, rest)) + self.end
+        text = text or ""
+        # every space is a boundary, but for one before white space or the end
+        first, *rest = _BOUNDARY.split(text) if _NO_BOUNDARY.search(text) else text.split(" ")
+        found = list(map(self.parts.get, rest))
+        if None in found:
+            if new := self.parts.missing([part for part, ids in zip(rest, found, strict=True) if ids is None]):
+                self._learn(new)
+            found = map(self.parts.__getitem__, rest)
+        return self._ids(first).tobytes() + b"".join(found) + self.end
 
 
 def train_dictionary(docs: DataFrame, tokenizer_file: str, end: int) -> bytes:
