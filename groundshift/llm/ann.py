@@ -174,7 +174,15 @@ def neighbour_graph(codes: DataFrame, degree: int = DEGREE) -> DataFrame:
 
 
 def with_codes(graph: DataFrame, codes: DataFrame, name: str) -> DataFrame:
-    """A bucketed table with the neighbours of every node and their codes, so that searches join it without moving it."""
+    """A bucketed table with the neighbours of every node and their codes, so that searches join it without moving it.
+
+    Nodes that have it as a neighbour without being its own are neighbours too, the
+    best few of them, so that nodes in nobody's list are found.
+    """
+    known = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "s").join(graph.select("a", "b"), ["a", "b"], "left_anti")
+    order = Window.partitionBy("a").orderBy(F.desc("s"), "b")
+    back = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= REVERSE).drop("place")
+    graph = graph.unionByName(back)
     rows = graph.join(codes, graph.b == codes.node).groupBy("a").agg(F.collect_list(F.struct("b", "code")).alias("near"))
     rows = rows.select("a", F.col("near.b").alias("ids"), F.col("near.code").alias("codes"))
     n = int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions"))

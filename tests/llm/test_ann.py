@@ -40,7 +40,7 @@ def test_norms_ties_and_what_takes_no_part(spark):
     valid = dict(rows)
     rows += [(200, None), (201, [0.0] * 4), (202, [1.0, None, 0.0, 0.0]), (203, [math.nan, 0.0, 0.0, 0.0]), (204, [math.inf, 0.0, 0.0, 1.0])]
     rows += [(None, [1.0, 0.0, 0.0, 0.0]), (205, [1.0]), (0, rows[0][1])]
-    out = ann.nearest(table(spark, rows), F.col("vec_id") % 20 == 0, k=7, width=200, pool=200).collect()
+    out = ann.nearest(table(spark, rows), F.col("vec_id") % 20 == 0, k=7, width=200, pool=200, degree=120).collect()  # all are neighbours
     want = exact(valid, [i for i in valid if i % 20 == 0], 7)
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in out)
     assert [g[:3] for g in got] == sorted(w[:3] for w in want)
