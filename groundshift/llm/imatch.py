@@ -14,7 +14,7 @@ by ``least``, whatever the number of documents; that bound is checked.
 
 Nulls: a null text is an empty one; it has no terms, and equal fingerprints are
 alike to 1 even if they hold none. Null ids come first. Rows of equal id come by
-text hash, then text; repeated rows follow each other. The row after the last
+text hash; repeated rows follow each other. The row after the last
 is the first. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -124,8 +125,8 @@ EDGES = "shard int, edge string, text string"
 def compared(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """Every document's fingerprint, that of its edited text, and how alike they and the next document's are.
 
-    Documents are dealt out by ranges of id, so all but the last of a range meet
-    the next one in their task. The last of each range is kept aside with its
+    Documents are dealt out by ranges of id, their texts compressed on the way, so
+    all but the last of a range meet the next one in their task. The last of each range is kept aside with its
     text, and so is the first; these two per range are paired afterwards.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -142,13 +143,20 @@ def compared(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     def table(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds)], names[: len(rows[0])])
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            packed = pa.array([packer.compress((t.as_py() or "").encode()) for t in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], ["doc_id", "text_key", "packed"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # the terms kept hold no cycles
         of, shard, before = Fingerprinter(known.value), TaskContext.get().partitionId(), None
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py() or ""
+            for doc_id, packed in zip(batch.column(0).to_pylist(), batch.column(2)):
+                text = unpacker.decompress(packed.as_py()).decode()
                 now = (doc_id, text, of(text))
                 if before is None:
                     rows.append((None,) * 7 + (shard, "first", text))
@@ -166,8 +174,10 @@ def compared(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
                 doc_id, text, after = (c[i].as_py() for c in batch.columns)
                 yield table([result(of, doc_id, text, of(text), after, of(after))])
 
-    key = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc(), F.col("text").asc_nulls_first()]
-    rows = docs.repartitionByRange(*key[:2]).sortWithinPartitions(*key)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    rows = rows.mapInArrow(pack, "doc_id long, text_key long, packed binary")
+    key = [F.col("doc_id").asc_nulls_first(), F.col("text_key")]
+    rows = rows.repartitionByRange(*key).sortWithinPartitions(*key)
     out = stored(rows.mapInArrow(run, f"{RESULT}, {EDGES}"), "imatch")
     firsts = out.where("edge = 'first'").select("shard", F.col("text").alias("after"))
     shards = firsts.select("shard")  # one row per range of ids
