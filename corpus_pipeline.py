@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from groundshift.llm import mixing, pieces, quality, simhash
+from groundshift.llm import mixing, nearcopies, pieces, quality
 from groundshift.llm.scratch import columns, fresh, shipped, stored
 
 
@@ -25,8 +25,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @shipped
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, three bits."""
-    return simhash.deduplicated(docs, radius=3, shingle=5)
+    """One document of each group of near copies: Jaccard similarity of five-word shingles 0.8 or more."""
+    return nearcopies.deduplicated(docs, least=0.8, shingle=5)
 
 
 @shipped

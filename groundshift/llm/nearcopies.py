@@ -1,0 +1,218 @@
+"""Near copies by exact Jaccard similarity of word shingles, found through SimHash.
+
+Texts are cut into words and shingles as in ``simhash``; the distinct shingle
+hashes of a text are its set, and texts of one set are one node. Two sets are
+linked if their Jaccard similarity is ``least`` or more, and linked nodes form
+components.
+
+Candidates: a set is sent to one bucket for each of ``BANDS`` bands of ``ROWS``
+minimum hashes, and fingerprints that share a bucket are compared bit-sliced
+within ``RADIUS`` bits. For a pair of similarity s the bands are missed with
+(1 - s^4)^16, 2 in 10,000 at 0.8. Random fingerprints are 32 bits apart, those of
+sets at 0.8 about 10, so the radius drops about 1 in 50,000 of these.
+
+Verification: the nodes that candidates connect meet with their whole sets, and
+every two not yet connected are compared. A gathering too large for one task is
+cut into parts. Each part is compared whole and with a few hubs of the
+gathering; nodes that are then still apart from its largest component, and these
+only, meet all others. A group of near copies, however large, thus moves a few times.
+
+Nulls, ties and repeated rows are treated as in ``simhash``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from groundshift.llm import simhash
+from groundshift.llm.graph import components
+from groundshift.llm.scratch import stored
+
+#: Bands, minimum hashes in each, and bits in which candidates may differ.
+BANDS, ROWS, RADIUS = 16, 4, 22
+#: Nodes and shingles of a part, and nodes of a gathering that all its parts meet.
+PART, SHINGLES, HUBS = 1024, 1 << 20, 8
+#: Shingles whose minimum hashes are computed at once.
+CHUNK = 4096
+_draw = np.random.default_rng(20)
+MULTIPLIERS, OFFSETS = _draw.integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
+MIXERS, SALTS = _draw.integers(0, 1 << 63, ROWS, np.uint64) * np.uint64(2) + np.uint64(1), _draw.integers(0, 1 << 63, BANDS, np.uint64)
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct shingle hashes of a text in order; a text of fewer words is one shingle."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(b" ".join(words[i : i + shingle]), 42) for i in range(max(1, len(words) - shingle + 1))], np.uint64))
+
+
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of a set, signed."""
+    ones = np.zeros((8, 8), np.int64)
+    octets = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
+    for k in range(8):
+        ones[k] = np.bincount(octets[:, k], minlength=256) @ simhash.BITS
+    return int.from_bytes(np.packbits(ones * 2 > len(hashes), axis=1).tobytes(), "big", signed=True)
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """One key for each band of minimum hashes."""
+    least = np.full(BANDS * ROWS, simhash.FULL)
+    for at in range(0, len(hashes), CHUNK):
+        np.minimum(least, (hashes[at : at + CHUNK, None] * MULTIPLIERS + OFFSETS).min(axis=0), out=least)
+    return (least.reshape(BANDS, ROWS) * MIXERS).sum(axis=1) + SALTS
+
+
+def sketches(docs: DataFrame, shingle: int) -> DataFrame:
+    """``doc_id, text_key, node, size, fp, bands`` of every row; ``node`` names the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text in batch.column(2):
+                found = shingle_set(text.as_py(), shingle)
+                node = int.from_bytes(xxhash.xxh64_digest(found.tobytes()), "big", signed=True)
+                out.append((node, len(found), set_fingerprint(found), band_keys(found).view(np.int64)))
+            node, size, fp, bands = zip(*out, strict=True) if out else ((), (), (), ())
+            arrays = [batch.column(0), batch.column(1), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(fp, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "text_key", "node", "size", "fp", "bands"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_key long, node long, size long, fp long, bands array<long>")
+
+
+def alike(sets: list[np.ndarray], sides: np.ndarray, label: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs of rows that connect all whose similarity is ``least`` or more; rows of one label are connected before.
+
+    If there are rows on side 1, which come last, those on side 0 are compared with them only.
+    """
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    label = np.unique(label, return_inverse=True)[1]
+    names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    ids = np.split(ids, np.cumsum(sizes)[:-1])
+    mark, out = np.zeros(len(names), np.int64), []
+    begin = int(np.argmax(sides)) if sides.any() else 0
+    for i in range(begin or len(sets)):
+        others = np.arange(begin or i + 1, len(sets))
+        large, small = np.maximum(sizes[others], sizes[i]), np.minimum(sizes[others], sizes[i])
+        others = others[(label[others] != label[i]) & (small >= least * large * (1 - 1e-9)) & (small > 0)]
+        if not len(others):
+            continue
+        mark[ids[i]] = 1
+        ends = np.cumsum(sizes[others])
+        common = np.add.reduceat(mark[np.concatenate([ids[j] for j in others])], ends - sizes[others])
+        mark[ids[i]] = 0
+        near = others[common / (sizes[i] + sizes[others] - common) >= least]
+        met, at = np.unique(label[near], return_index=True)
+        out.extend((i, int(j)) for j in near[at])
+        label[np.isin(label, met)] = label[i]
+    return out
+
+
+def verified(rows: DataFrame, least: float) -> DataFrame:
+    """``a, b``: links between the nodes of each meeting; ``rows``: ``meeting, side, node, cluster, shingles``."""
+
+    def found(table: pa.Table) -> pa.RecordBatch:
+        meeting, sides, node, cluster = (table.column(i).to_numpy() for i in range(4))
+        ends, a, b = [*(np.flatnonzero(np.diff(meeting)) + 1).tolist(), len(meeting)], [], []
+        for i, j in zip([0, *ends[:-1]], ends, strict=True):
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column(4).slice(i, j - i)]
+            for x, y in alike(sets, sides[i:j], cluster[i:j], least):
+                a.append(node[i + x])
+                b.append(node[i + y])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            meeting = held.column(0).to_numpy()
+            stop = int(np.searchsorted(meeting, meeting[-1])) if len(meeting) else 0
+            if stop:
+                yield found(held.slice(0, stop))
+                held = held.slice(stop)
+        if held is not None and held.num_rows:
+            yield found(held)
+
+    rows = rows.select("meeting", "side", "node", "cluster", "shingles")
+    return rows.repartition("meeting").sortWithinPartitions("meeting", "side", "node").mapInArrow(run, "a long, b long")
+
+
+def parts_of(nodes: Column, shingles: Column) -> Column:
+    return F.greatest(F.ceil(nodes / PART), F.ceil(shingles / SHINGLES), F.lit(1)).cast("int")
+
+
+def dealt(parts: Column) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit("part")), parts).cast("int")
+
+
+def shingle_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """``wanted(node, ...)`` with the set of each node, from one document that has it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), shingle).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    one = rows.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min(F.struct("text_key", "doc_id")).alias("one"))
+    one = one.select("node", F.col("one.text_key").alias("text_key"), F.col("one.doc_id").alias("id"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+    texts = texts.join(one, (F.col("key") == F.col("text_key")) & F.col("doc_id").eqNullSafe(F.col("id"))).dropDuplicates(["node"])
+    return wanted.join(texts.select("node", "text").mapInArrow(run, "node long, shingles binary"), "node")
+
+
+def links(gathered: DataFrame, least: float) -> DataFrame:
+    """``a, b``: enough links to connect all alike nodes of each gathering; ``gathered``: ``root, parts, node, size, shingles``."""
+    rows = gathered.withColumn("part", dealt(F.col("parts"))).withColumn("cluster", F.col("node"))
+    place = Window.partitionBy("root").orderBy(F.xxhash64("node", F.lit("hub")), "node")
+    hubs = rows.where("parts > 1").select("root", "node").withColumn("place", F.row_number().over(place)).where(F.col("place") <= HUBS)
+    hubs = rows.join(hubs.select("node"), "node", "left_semi").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("at <> part")
+    first = rows.unionByName(hubs.withColumn("part", F.col("at")).drop("at"))
+    found = stored(verified(first.select(F.xxhash64("root", "part").alias("meeting"), F.lit(0).alias("side"), "node", "cluster", "shingles"), least), "near-links")
+    large = rows.where("parts > 1")
+    if large.isEmpty():
+        return found
+    known = components(found)
+    clusters = large.select("root", "node", "size").join(known.withColumnRenamed("root", "cluster"), "node", "left")
+    clusters = clusters.withColumn("cluster", F.coalesce("cluster", "node"))
+    counts = clusters.groupBy("root", "cluster").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    sums = counts.groupBy("root").agg(F.max(F.struct("n", "size", "cluster")).alias("major"), F.sum("n").alias("n"), F.sum("size").alias("size"))
+    sums = sums.where("n > major.n")
+    apart = parts_of(F.col("n") - F.col("major.n"), F.col("size") - F.col("major.size"))
+    sums = sums.select("root", F.col("major.cluster").alias("major"), parts_of(F.col("major.n"), F.col("major.size")).alias("most"), apart.alias("rest"))
+    left = clusters.drop("size").join(sums, "root").withColumn("main", F.col("cluster") == F.col("major"))
+    left = stored(left, "near-left")
+    if left.isEmpty():
+        return found
+    # a part of the rest meets every part of the largest component (numbered below 0) and of the rest
+    mine = F.when(F.col("main"), -1 - dealt(F.col("most"))).otherwise(dealt(F.col("rest")))
+    met = F.expr("if(main, sequence(0, rest - 1), sequence(-most, rest - 1))")
+    left = left.withColumn("part", mine).withColumn("with", F.explode(met))
+    left = left.select("node", "cluster", F.xxhash64("root", F.least("part", "with"), F.greatest("part", "with")).alias("meeting"), (F.col("part") > F.col("with")).cast("int").alias("side"))
+    return found.union(verified(left.join(rows.select("node", "shingles"), "node"), least))
+
+
+def classes(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
+    """``doc_id, text_key, root`` of every row of ``docs``; ``root`` names the component."""
+    rows = stored(sketches(docs, shingle), "sketches")
+    nodes = stored(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("bands").alias("bands")), "sketch-nodes")
+    near = simhash.compared(nodes.select("fp", F.explode("bands").alias("bucket")).distinct(), RADIUS)
+    near = nodes.join(components(near).withColumnRenamed("node", "fp"), "fp", "left").select("node", "size", F.coalesce("root", "fp").alias("root"))
+    near = stored(near, "gatherings")
+    sums = near.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("size")).where("n > 1")
+    wanted = near.join(sums.select("root", parts_of(F.col("n"), F.col("size")).alias("parts")), "root")
+    gathered = stored(shingle_sets(docs, rows, wanted, shingle), "gathered")
+    found = components(links(gathered, least))
+    return rows.select("doc_id", "text_key", "node").join(found, "node", "left").select("doc_id", "text_key", F.coalesce("root", "node").alias("root"))
+
+
+def deduplicated(docs: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row with the smallest id, ties as in ``simhash``."""
+    return simhash.first_of_each(docs, classes(docs, least, shingle))

@@ -153,14 +153,18 @@ def bucketed(distinct: DataFrame, radius: int) -> DataFrame:
 
 
 def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
-    """``a, b``: enough links between distinct fingerprints to connect all that are within the radius.
+    """``a, b``: enough links between distinct fingerprints to connect all that are within the radius."""
+    return compared(bucketed(distinct, radius), radius)
+
+
+def compared(rows: DataFrame, radius: int) -> DataFrame:
+    """``a, b``: links between fingerprints that share a bucket and are within the radius; ``rows``: ``bucket, fp``.
 
     Of a bucket's links only a spanning forest is returned, so a dense bucket
     gives no more rows than it has members. Buckets of over ``PART`` members are
     cut into parts by hash; every two parts meet in a task of their own. Buckets
     with one member are dropped before the comparison.
     """
-    rows = bucketed(distinct, radius)
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     sizes = sizes.select("bucket", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
     rows = rows.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("fp", F.lit("part")), F.col("parts")).cast("int"))
@@ -214,7 +218,11 @@ def deduplicated(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFram
 
     Ties of id go to the smaller text hash, repeated rows to one of them.
     """
-    found = classes(docs, radius, shingle)
+    return first_of_each(docs, classes(docs, radius, shingle))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of ``docs`` one row for every ``root`` of ``found(doc_id, text_key, root)``, chosen as above."""
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("kept"))
     first = first.select(F.col("kept.doc_id").alias("doc_id"), F.col("kept.text_key").alias("text_key"))
     (key,) = fresh(docs, "text_key")

@@ -1,0 +1,97 @@
+import random
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from groundshift.llm import nearcopies
+
+
+def shingles(text, k=5):
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def groups(texts, least=0.8):
+    """Groups of rows linked at ``least``, compared two by two."""
+    sets, label = [shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if label[i] != label[j] and min(len(sets[i]), len(sets[j])) >= least * max(len(sets[i]), len(sets[j])) and similarity(sets[i], sets[j]) >= least:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = f"new{rng.randrange(10**9)}"
+    return words
+
+
+def families(rng, each=12):
+    """Texts of several lengths, each with copies of more and more edits, and a chain of copies of copies."""
+    out = []
+    for length in (5, 6, 9, 12, 40, 200, 500):
+        base = [f"w{rng.randrange(5000)}" for _ in range(length)]
+        out.append(base)
+        out += [edited(rng, base, min(length, e * length // 200 + (length < 200 and e % 2))) for e in range(each)]
+        out += [base + ["tail"], base[:-1]]
+        chain = base
+        for _ in range(5):
+            out.append(chain := edited(rng, chain, max(1, length // 100)))
+    return [" ".join(w) for w in out]
+
+
+def same_groups(got, texts):
+    want, seen = groups(texts), {}
+    for i, root in got:
+        seen.setdefault(root, set()).add(i)
+    assert {frozenset(x) for x in seen.values()} == {frozenset(i for i, w in enumerate(want) if w == k) for k in want}
+
+
+def test_stage_keeps_one_of_each_group_linked_at_0_8(spark, docs):
+    texts = families(random.Random(4)) + ["", None, " ", "one two", "One  two", "one three"]
+    rows = corpus_pipeline.one_of_each(spark, docs(list(enumerate(texts))), "").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(set(groups(texts)))
+
+
+def test_stage_on_the_given_documents(spark):
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [r.text for r in given.orderBy("doc_id").collect()]
+    ids = [r.doc_id for r in given.orderBy("doc_id").collect()]
+    assert sorted(r.doc_id for r in corpus_pipeline.one_of_each(spark, given, "").collect()) == sorted(ids[i] for i in set(groups(texts)))
+
+
+def test_gatherings_in_parts(spark, docs, monkeypatch):
+    texts = families(random.Random(5))
+    for name, n in (("PART", 3), ("HUBS", 1)):
+        monkeypatch.setattr(nearcopies, name, n)
+    # all nodes in one gathering, so that most stay apart from its largest component
+    rows = docs(list(enumerate(texts)))
+    found = nearcopies.sketches(rows, 5).select("doc_id", "node", "size")
+    ids = {r.doc_id: r.node for r in found.collect()}
+    one = found.select("node", "size").distinct().withColumns({"root": F.lit(1), "parts": F.lit(20)})
+    gathered = nearcopies.shingle_sets(rows, nearcopies.sketches(rows, 5), one, 5)
+    roots = {r.node: r.root for r in nearcopies.components(nearcopies.links(gathered, 0.8)).collect()}
+    same_groups([(i, roots.get(n, n)) for i, n in ids.items()], texts)
+
+
+def test_large_group_of_near_copies_moves_few_times(spark, docs, monkeypatch):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(edited(rng, base, 1 + i % 3)) for i in range(150)]
+    monkeypatch.setattr(nearcopies, "PART", 10)
+    moved = []
+    real = nearcopies.verified
+    monkeypatch.setattr(nearcopies, "verified", lambda rows, least: moved.append(rows.count()) or real(rows, least))
+    same_groups([(r.doc_id, r.root) for r in nearcopies.classes(docs(list(enumerate(texts)))).collect()], texts)
+    assert sum(moved) <= 3 * len(texts)
+
+
+def test_empty_table(docs):
+    assert nearcopies.deduplicated(docs([(1, "a")]).limit(0)).count() == 0
