@@ -37,9 +37,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @shipped
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document with their score."""
-    found = pieces.encode(docs, public_tokenizers.path(pieces.MODEL), nbest=2, ids=True)
-    return found.select("doc_id", "n_pieces", "score", "ids")
+    """Piece ids of every document, the N best scores and crc32s, and a digest of the text decoded from the ids."""
+    found = pieces.encode(docs, public_tokenizers.path(pieces.MODEL), nbest=3, ids=True)
+    return found.select("doc_id", "n_pieces", "score", "scores", "crcs", F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 
 
 STAGES = [
