@@ -6,7 +6,13 @@ neighbour of, all these meet, and every pair of them that is new to each other
 is compared: neighbours of neighbours become neighbours, and the best ``degree``
 are kept. Rounds end when few lists change.
 
-Search. A query starts at its own neighbours; in each round the unvisited ones
+Few vectors. If there are at most ``pool`` nodes, all of them are candidates of
+every query, and neither graph nor search is needed.
+
+Search. A query starts at its own node and at entry nodes, those of the largest
+norms and some drawn at random, which all queries share, and every node has a few
+random neighbours, so a tight group whose lists hold its own members only does
+not hold the walk; in each round the unvisited ones
 among its best ``width`` candidates are joined with the graph, and their
 neighbours become candidates, until the best ``width`` are all visited.
 
@@ -45,6 +51,8 @@ GROUP = 13
 STILL, DESCENTS = 0.05, 8
 #: Best candidates of a query that are visited, candidates it keeps, and rounds at most.
 WIDTH, POOL, ROUNDS = 224, 256, 24
+#: Entry nodes of every walk, of the largest norms and drawn by hash, and random links of a node.
+LARGEST, DRAWN, RANDOM = 8, 8, 3
 
 
 def usable(table: DataFrame) -> DataFrame:
@@ -177,12 +185,18 @@ def with_codes(graph: DataFrame, codes: DataFrame, name: str) -> DataFrame:
     """A bucketed table with the neighbours of every node and their codes, so that searches join it without moving it.
 
     Nodes that have it as a neighbour without being its own are neighbours too, the
-    best few of them, so that nodes in nobody's list are found.
+    best few of them, so that nodes in nobody's list are found. So are the node
+    itself and about ``RANDOM`` nodes drawn by hash, which lead out of tight groups.
     """
     known = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "s").join(graph.select("a", "b"), ["a", "b"], "left_anti")
     order = Window.partitionBy("a").orderBy(F.desc("s"), "b")
     back = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= REVERSE).drop("place")
-    graph = graph.unionByName(back)
+    n = codes.count()
+    probes = F.explode(F.array(*(F.pmod(F.xxhash64("node", F.lit(i)), F.lit(n)) for i in range(RANDOM))))
+    slots = codes.select(F.col("node").alias("b"), F.pmod(F.xxhash64("node", F.lit("slot")), F.lit(n)).alias("slot"))
+    drawn = codes.select(F.col("node").alias("a"), probes.alias("slot")).join(slots, "slot").select("a", "b")
+    itself = codes.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    graph = graph.unionByName(back).select("a", "b").union(drawn).union(itself).distinct()
     rows = graph.join(codes, graph.b == codes.node).groupBy("a").agg(F.collect_list(F.struct("b", "code")).alias("near"))
     rows = rows.select("a", F.col("near.b").alias("ids"), F.col("near.code").alias("codes"))
     n = int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -190,8 +204,24 @@ def with_codes(graph: DataFrame, codes: DataFrame, name: str) -> DataFrame:
     return graph.sparkSession.table(name)
 
 
-def searched(spark: SparkSession, queries: DataFrame, graph: DataFrame, codes: DataFrame, width: int, pool: int) -> DataFrame:
-    """``query, node``: the best candidates of greedy search for each of ``queries(query)``, its own node among them."""
+def entries(nodes: DataFrame) -> list[int]:
+    """Where every walk starts besides its own node."""
+    norm = dot(F.col("vec"), F.col("vec"))
+    largest = nodes.select("node", norm.alias("norm")).orderBy(F.desc("norm"), "node").limit(LARGEST).select("node")
+    drawn = nodes.select("node").orderBy(F.xxhash64("node", F.lit("entry")), "node").limit(DRAWN)
+    return sorted({r.node for r in largest.union(drawn).collect()})
+
+
+def each(ids: list[int]) -> Column:
+    """A row for every one of a few ids."""
+    return F.explode(F.array(*map(F.lit, ids)).cast("array<long>"))
+
+
+def searched(spark: SparkSession, queries: DataFrame, graph: DataFrame, codes: DataFrame, starts: list[int], width: int, pool: int) -> DataFrame:
+    """``query, node``: the best candidates of greedy search for each of ``queries(query)``, its own node among them.
+
+    Every walk visits the nodes ``starts`` first, whatever they score.
+    """
     name = f"graph_{uuid.uuid4().hex}"
     table = with_codes(graph, codes, name)
 
@@ -211,8 +241,12 @@ def searched(spark: SparkSession, queries: DataFrame, graph: DataFrame, codes: D
             )
 
     order = Window.partitionBy("query").orderBy(F.desc("s"), "node")
-    found = queries.select("query", F.col("query").alias("node"), F.lit(9.0).cast("float").alias("s"), F.lit(0).alias("seen"))
-    found = found.withColumn("place", F.lit(1))
+    own = queries.select("query", F.col("query").alias("node"), F.lit(9.0).cast("float").alias("s"), F.lit(0).alias("seen"))
+    first = queries.select("query", each(starts).alias("node")).join(codes.withColumnRenamed("node", "query"), "query")
+    first = first.join(F.broadcast(table.where(F.col("a").isin(starts))), F.col("node") == F.col("a"))  # a few rows
+    first = first.select("query", "code", F.lit(-9.0).alias("least"), "ids", "codes").mapInArrow(walk, "query long, node long, s float")
+    found = own.unionByName(first.withColumn("seen", F.lit(0))).groupBy("query", "node").agg(F.max("s").alias("s"), F.max("seen").alias("seen"))
+    found = stored(found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pool), "search")
     for _ in range(ROUNDS):
         least = F.when(F.count("*").over(Window.partitionBy("query")) >= pool, F.min("s").over(Window.partitionBy("query"))).otherwise(-9.0)
         ahead = found.withColumn("least", least).where((F.col("seen") == 0) & (F.col("place") <= width))
@@ -236,10 +270,14 @@ def nearest(table: DataFrame, asked: Column, k: int = 20, width: int = WIDTH, po
     nodes = rows.groupBy("vec").agg(F.min("vec_id").alias("node"))
     rows = stored(rows.join(nodes, "vec"), "vector-nodes")
     nodes = rows.where(F.col("vec_id") == F.col("node")).select("node", "vec")
-    codes = stored(encoded(nodes), "codes")
     queries = rows.where(asked).select(F.col("vec_id").alias("query_id"), F.col("node").alias("query"), F.col("vec").alias("query_vec"))
-    graph = neighbour_graph(codes, degree)
-    found = searched(spark, queries.select("query").distinct(), graph, codes, width, max(pool, k + 1))
+    asking, pool = queries.select("query").distinct(), max(pool, k + 1)
+    few = [r.node for r in nodes.select("node").limit(pool + 1).collect()]
+    if len(few) <= pool:
+        found = asking.select("query", each(few).alias("node"))
+    else:
+        codes = stored(encoded(nodes), "codes")
+        found = searched(spark, asking, neighbour_graph(codes, degree), codes, entries(nodes), width, pool)
     ids = Window.partitionBy("node").orderBy("vec_id")
     members = rows.select("node", "vec_id").withColumn("nth", F.row_number().over(ids)).where(F.col("nth") <= k + 1)
     scored = queries.select("query", "query_vec").dropDuplicates(["query"]).join(found, "query").join(nodes, "node")

@@ -53,3 +53,27 @@ def test_small_and_empty_tables(spark):
     assert got == [(0, 1, 2), (0, 2, 1)]
     assert ann.nearest(few.limit(0), F.col("vec_id") == 0).count() == 0
     assert ann.nearest(few.where("vec_id = 0"), F.col("vec_id") == 0).count() == 0
+
+
+def tight(rng, groups, each, spread=0.01):
+    """Vectors in tight groups of near but unequal ones; the groups' norms differ."""
+    centres = [rng.normal(size=8) for _ in range(groups)]
+    centres = [c / np.linalg.norm(c) * (1 + g % 7) for g, c in enumerate(centres)]
+    rows = [[float(np.float32(x)) for x in c + spread * rng.normal(size=8)] for c in centres for _ in range(each)]
+    return list(enumerate(rows))
+
+
+def test_two_tight_groups_give_all_that_are_asked_for(spark):
+    rows = tight(np.random.default_rng(2), 2, 12)
+    got = ann.nearest(table(spark, rows), F.col("vec_id") % 5 == 0).collect()
+    want = exact(dict(rows), [i for i, _ in rows if i % 5 == 0], 20)
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == sorted(w[:3] for w in want)
+
+
+def test_recall_over_tight_groups(spark):
+    rows = tight(np.random.default_rng(3), 12, 40)
+    got = ann.nearest(table(spark, rows), F.col("vec_id") % 10 == 0).collect()
+    want = exact(dict(rows), [i for i, _ in rows if i % 10 == 0], 20)
+    assert len(got) == len(want)
+    found = {(r.query_id, r.vec_id) for r in got}
+    assert sum((q, i) in found for q, _, i, _ in want) >= 0.9 * len(want)
