@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from groundshift.llm import ann, chat, imatch, licenses, mixing, pieces, quality, simhash, tokenfile, warc
+from groundshift.llm import ann, chat, imatch, jaccard, licenses, mixing, pieces, quality, simhash, tokenfile, warc, whiten
 from groundshift.llm.scratch import new_folder, shipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,36 @@ from runs left join taken using (id)
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sizes(table(spark, sf_dir, "documents"), weights=(1, 2, 3), budget_share=1.0, epochs=3)
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+#: Word runs, distinct five-word shingles, links by shared shingles, and what links reach.
+JACCARD_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select distinct doc_id, md5(array_to_string(w[i : i + 4], ' ')) as s
+  from (select doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) as i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as n from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select x, y from shared s join sizes a on a.doc_id = s.x join sizes b on b.doc_id = s.y where 100 * s.n >= 80 * (a.n + b.n - s.n)),
+both_ways as (select x, y from links union select y, x from links),
+reach as (
+  select doc_id as x, doc_id as y from words
+  union
+  select r.x, l.y from reach r join both_ways l on r.y = l.x)
+select r.x as doc_id, coalesce(any_value(s.n), 0)::bigint as n_shingles, min(r.y) as component_id
+from reach r left join sizes s on s.doc_id = r.x group by r.x
+"""
+
+
+@query(JACCARD_SQL)
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"), least=80, shingle=5)
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whitened(table(spark, sf_dir, "embeddings"), scale=256.0, components=4)

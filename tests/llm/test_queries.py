@@ -20,7 +20,7 @@ def test_matches_sql(spark, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(names)
 
 
