@@ -48,7 +48,7 @@ from groundshift.llm.scratch import stored
 from groundshift.llm.spread import spread_join
 
 #: Tokens sent to the buckets at once, and octets of text whose tokens share a bucket.
-BLOCK, BUCKET_BYTES = 4_000_000, 24 << 20
+BLOCK, BUCKET_BYTES = 1_000_000, 12 << 20
 #: Sampled texts, the share of them (one in) that makes a token heavy, and what counts as its frequency.
 SAMPLE, HEAVY, HEAVY_COUNT = 4096, 64, 1 << 40
 ORDERS = 3
@@ -73,7 +73,7 @@ def tokens_of(text: str | None, shingle: int, hashes: dict[bytes, int]) -> np.nd
 
 
 def word_hashes() -> Memo:
-    return Memo(xxhash.xxh64_intdigest, 600_000)
+    return Memo(xxhash.xxh64_intdigest, 300_000)
 
 
 def nodes_of(docs: DataFrame) -> DataFrame:
