@@ -3,6 +3,12 @@
 Each stage works on all rows its predecessor kept and, but for the last, returns
 the columns of ``documents``. ``run`` applies the stages in order; every result
 is written to the shared folder and read back.
+
+Null texts count as empty ones in all stages: the classifier scores them by its
+bias alone, near-dedup keeps one of them, the mix takes none of them as they have
+no words. Rows without id are kept like others; of repeated rows near-dedup keeps
+one. An empty table passes through as an empty one, columns beside those of
+``documents`` are carried to the mix whatever their names.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from groundshift.llm import mixing, nearcopies, pieces, quality
+from groundshift.llm import mixing, pieces, quality, simhash
 from groundshift.llm.scratch import columns, fresh, shipped, stored
 
 
@@ -25,8 +31,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @shipped
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: Jaccard similarity of five-word shingles 0.8 or more."""
-    return nearcopies.deduplicated(docs, least=0.8, shingle=5)
+    """One document of each group of near copies: SimHash of three-word shingles, at most three bits apart."""
+    return simhash.deduplicated(docs, radius=3, shingle=3)
 
 
 @shipped
