@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from groundshift.llm import ann, chat, imatch, jaccard, licenses, mixing, pieces, quality, simhash, tokenfile, warc, whiten
+from groundshift.llm import ann, chat, imatch, jaccard, licenses, mixing, phrases, pieces, quality, simhash, tokenfile, warc, whiten
 from groundshift.llm.scratch import new_folder, shipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,6 +189,45 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+#: Pieces and words, counts of all runs of one to four words, lowest-scoring cuts, phrases that longer ones contain.
+PHRASE_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from words group by lang),
+runs as (
+  select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase
+  from (select lang, w, k, unnest(generate_series(1, len(w) - k + 1)) as i from words, (values (1), (2), (3), (4)) ks(k) where len(w) >= k)),
+grams as (select lang, k as words, phrase, count(*) as f from runs group by all having count(*) >= 30),
+cuts as (
+  select g.lang, g.phrase, g.words, g.f as a, unnest(generate_series(1, g.words - 1)) as k, string_split(g.phrase, ' ') as w
+  from grams g where g.words > 1),
+valued as (
+  select c.*, l.f as l, r.f as r, ((2000000::hugeint * c.a) // (l.f + r.f))::bigint as score
+  from cuts c
+  join grams l on l.lang = c.lang and l.phrase = array_to_string(c.w[1 : c.k], ' ')
+  join grams r on r.lang = c.lang and r.phrase = array_to_string(c.w[c.k + 1 : c.words], ' ')),
+best as (select * from valued qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+  select lang, array_to_string(w[at : at + size - 1], ' ') as phrase, max(a) as most
+  from (select *, unnest(generate_series(1, words - size + 1)) as at
+        from (select *, unnest(generate_series(2, words - 1)) as size from best where words > 2))
+  group by all),
+kept as (
+  select b.* from best b left join inside i on i.lang = b.lang and i.phrase = b.phrase
+  where i.most is null or 100 * i.most < 80 * b.a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
+
+@query(PHRASE_SQL)
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, share=80, top=2000)
+
+
 #: Word runs, distinct five-word shingles, links by shared shingles, and what links reach.
 JACCARD_SQL = r"""
 with recursive words as (
