@@ -6,7 +6,8 @@ share a row of their own; other bigrams have none. A text is the average of its
 rows, a softmax layer gives the classes. Table and layer are learned by stochastic gradient descent.
 
 Labels come from a bounded sample: the ``TRAIN_ROWS`` labelled documents with
-the smallest hash of their id, so a rerun learns from the same rows. Whole texts
+the smallest hash of their id, up to ``TRAIN_CHARS`` characters in that order, so
+a rerun learns from the same rows. Whole texts
 are read, in training and in scoring. Since the layer is linear in the average,
 a text's logit is the average of one number per feature, so scoring carries one
 number per table row and keeps sums by word.
@@ -31,13 +32,13 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from groundshift.llm.memo import Memo
 from groundshift.llm.scratch import columns, fresh
 
-#: Labelled documents learned from, at most.
-TRAIN_ROWS = 4000
+#: Labelled documents learned from, and characters of these, at most.
+TRAIN_ROWS, TRAIN_CHARS = 4000, 1 << 25
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 #: The table row of a word that follows itself.
@@ -63,15 +64,18 @@ def repeats(words: list[bytes]) -> int:
 
 
 def text_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct table rows of a text and their shares."""
+    """Distinct table rows of a text and how often it has them."""
     words = words_of(text)
     found = Counter({AGAIN: again}) if (again := repeats(words)) else Counter()
     for word, n in Counter(words).items():
         for f in word_features(word):
             found[f] += n
-    rows = np.fromiter(found.keys(), np.int32, len(found))
-    shares = np.fromiter(found.values(), np.float32, len(found))
-    return rows, shares / max(1.0, float(shares.sum()))
+    return np.fromiter(found.keys(), np.int32, len(found)), np.fromiter(found.values(), np.int32, len(found))
+
+
+def shares(counts: np.ndarray) -> np.ndarray:
+    out = counts.astype(np.float32)
+    return out / max(1.0, float(out.sum()))
 
 
 @dataclass
@@ -117,29 +121,45 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = TRAIN_ROWS) -> Model:
-    """Fit a model to at most ``max_rows`` labelled rows that are not held out."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = TRAIN_ROWS, max_chars: int = TRAIN_CHARS) -> Model:
+    """Fit a model to labelled rows that are not held out: at most ``max_rows``, and ``max_chars`` characters of them.
+
+    Features are made in parallel and learned from in one task, which is all that
+    ever holds the sample; the driver gets the finished weights.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-    known = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
+    lengths = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
+    known = known.join(lengths.groupBy("doc_id").agg(F.max("chars").alias("chars")), "doc_id")
+    known = known.where(F.col("chars") <= max_chars).groupBy("doc_id").agg(F.min("label").alias("label"), F.max("chars").alias("chars"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    upto = F.sum("chars").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # max_rows rows
+    known = known.withColumn("upto", upto).where(F.col("upto") <= max_chars).select("doc_id", "label")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                rows, shares = text_features(batch.column(1)[i].as_py())
+                rows, counts = text_features(batch.column(1)[i].as_py())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 1), batch.column(2).slice(i, 1), pa.array([rows]), pa.array([shares])],
-                    ["doc_id", "label", "rows", "shares"],
+                    [batch.column(0).slice(i, 1), batch.column(2).slice(i, 1), pa.array([rows]), pa.array([counts])],
+                    ["doc_id", "label", "rows", "counts"],
                 )
 
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples = []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                samples.append((batch.column(1)[i].values.to_numpy(), shares(batch.column(2)[i].values.to_numpy()), batch.column(0)[i].as_py()))
+        if samples:
+            model = fit(samples)
+            yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()]), pa.array([model.bias])], ["weights", "bias"])
+
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")  # max_rows rows
     texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
-    found = texts.mapInArrow(features, "doc_id long, label int, rows array<int>, shares array<float>").toArrow().sort_by("doc_id")
-    columns_ = [found.column(c).combine_chunks() for c in ("rows", "shares", "label")]
-    samples = [(columns_[0][i].values.to_numpy(), columns_[1][i].values.to_numpy(), columns_[2][i].as_py()) for i in range(found.num_rows)]
-    return fit(samples)
+    found = texts.mapInArrow(features, "doc_id long, label int, rows array<int>, counts array<int>")
+    found = found.repartition(1).sortWithinPartitions("doc_id").select("label", "rows", "counts")
+    model = found.mapInArrow(learned, "weights binary, bias double").first()
+    return Model(np.frombuffer(model.weights, np.float64), model.bias) if model else fit([])
 
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:

@@ -211,8 +211,8 @@ valued as (
   join grams r on r.lang = c.lang and r.phrase = array_to_string(c.w[c.k + 1 : c.words], ' ')),
 best as (select * from valued qualify row_number() over (partition by lang, phrase order by score, k) = 1),
 inside as (
-  select lang, array_to_string(w[at : at + size - 1], ' ') as phrase, max(a) as most
-  from (select *, unnest(generate_series(1, words - size + 1)) as at
+  select lang, array_to_string(w[pos : pos + size - 1], ' ') as phrase, max(a) as most
+  from (select *, unnest(generate_series(1, words - size + 1)) as pos
         from (select *, unnest(generate_series(2, words - 1)) as size from best where words > 2))
   group by all),
 kept as (

@@ -30,22 +30,28 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from groundshift.llm.memo import Memo
 from groundshift.llm.scratch import filesystem, one_task_each, stored
+from groundshift.llm.wordpool import Pool, coded, slices
 
 MAGIC = b"TOKENID1"
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<u8")])
 TAIL = np.dtype([("at", "<u8"), ("docs", "<u8")])
-#: Documents that the dictionary is trained on, ids read of each, and its size.
+#: Documents that the dictionary is trained on, ids taken of each (from all over it), and its size.
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 2000, 4096, 64 << 10
-_BOUNDARY, _NO_BOUNDARY = re.compile(r" (?=\S)"), re.compile(r" (?!\S)")
+#: Parts kept by a worker, and those encoded in one call.
+PARTS, TOGETHER = 600_000, 4096
+_BOUNDARY = re.compile(r" (?=\S)")
+#: A space before white space (as Python's ``\\s`` has it) or the end, in the syntax of Arrow.
+SOME_SPACE = "(?s) ($|[\\s\x0b\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])"
 
 
 class Encoder:
@@ -53,43 +59,79 @@ class Encoder:
 
     The pattern that splits a text before the merges starts a new piece at every
     space that a non-space follows, so the parts between such spaces are encoded
-    by themselves and kept for the next time. A text's new parts are encoded in
-    one call: each begins with the only token that starts with its space.
+    by themselves and kept for the next time. New parts are encoded many in one
+    call: each begins with the only token that starts with its space. A text that
+    holds an added token (such as the end of text) is encoded as a whole.
     """
 
-    def __init__(self, tokenizer_file: str, end: int):
+    def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.end = end.to_bytes(4, "little")
+        added = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.added = "|".join(map(re.escape, added))
         size = max(self.tokenizer.get_vocab().values()) + 1
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.parts = Memo(lambda part: self._ids(" " + part).tobytes(), 500_000)
+        self.parts = Pool(self._learn, PARTS)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, parts: list[str]) -> None:
-        plain = [p for p in parts if " " not in p]
-        ids = self._ids(" " + " ".join(plain))
-        starts = np.flatnonzero(self.opens[ids]).tolist()
-        if len(starts) == len(plain):
-            octets = ids.tobytes()
-            for part, at, stop in zip(plain, starts, [*starts[1:], len(ids)], strict=True):
-                self.parts.put(part, octets[4 * at : 4 * stop])
-
-    def __call__(self, text: str | None) -> bytes:
-        """The ids of a text and the end id."""
-        text = text or ""
+    def _learn(self, parts: list) -> tuple[list, np.ndarray, np.ndarray]:
+        """Ids of parts behind their space; a tuple holds a part that begins a text and has none."""
+        plain, alone = [], []
+        for part in parts:
+            (plain if type(part) is str and " " not in part else alone).append(part)
+        keys, found, sizes = [], [np.zeros(0, "<u4")], []
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            ids = self._ids(" " + " ".join(some))
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) == len(some):
+                keys += some
+                found.append(ids)
+                sizes += np.diff(starts, append=len(ids)).tolist()
+            else:
+                alone += some
+        for part in alone:
+            found.append(self._ids(part[0] if type(part) is tuple else " " + part))
+            sizes.append(len(found[-1]))
+        return keys + alone, np.concatenate(found), np.array(sizes, np.int64)
+
+    def texts(self, texts: pa.Array, end: int) -> Iterator[bytes]:
+        """The ids of each text and the end id."""
+        texts, end = pc.fill_null(texts, ""), end.to_bytes(4, "little")
+        whole = pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False) if self.added else np.zeros(len(texts), bool)
+        cut = texts.filter(pa.array(~whole))
         # every space is a boundary, but for one before white space or the end
-        first, *rest = _BOUNDARY.split(text) if _NO_BOUNDARY.search(text) else text.split(" ")
-        found = list(map(self.parts.get, rest))
-        if None in found:
-            if new := self.parts.missing([part for part, ids in zip(rest, found, strict=True) if ids is None]):
-                self._learn(new)
-            found = map(self.parts.__getitem__, rest)
-        return self._ids(first).tobytes() + b"".join(found) + self.end
+        simple = ~pc.match_substring_regex(cut, SOME_SPACE).to_numpy(zero_copy_only=False)
+        keys, codes, counts = coded(cut, simple, _BOUNDARY.split, first=True)
+        ids, sizes = self.parts.gathered(self.parts.places(keys)[codes]) if keys else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        octets = ids.astype("<u4", copy=False).tobytes()
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])] * 4
+        cuts = iter(zip(ends[:-1].tolist(), ends[1:].tolist()))
+        for i, alone in enumerate(whole.tolist()):
+            if alone:
+                yield self._ids(texts[i].as_py()).tobytes() + end
+            else:
+                a, b = next(cuts)
+                yield octets[a:b] + end
+
+
+@cache
+def load(tokenizer_file: str) -> Encoder:
+    """The encoder, kept by the worker from task to task."""
+    gc.disable()  # the parts kept hold no cycles
+    return Encoder(tokenizer_file)
+
+
+def spread_sample(ids: bytes) -> bytes:
+    """At most ``SAMPLE_IDS`` ids of a document, in stretches from all over it."""
+    found = np.frombuffer(ids, "<u4")
+    if len(found) <= SAMPLE_IDS:
+        return ids
+    starts = np.linspace(0, len(found) - SAMPLE_IDS // 8, 8).astype(np.int64)
+    return b"".join(found[a : a + SAMPLE_IDS // 8].tobytes() for a in starts)
 
 
 def train_dictionary(docs: DataFrame, tokenizer_file: str, end: int) -> bytes:
@@ -100,11 +142,11 @@ def train_dictionary(docs: DataFrame, tokenizer_file: str, end: int) -> bytes:
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer_file, end)
+        encode = load(tokenizer_file)
         for batch in batches:
-            for i in range(batch.num_rows):
-                ids = encode(batch.column(1)[i].as_py())[: 4 * SAMPLE_IDS]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([ids])], ["doc_id", "ids"])
+            for part in slices(batch, 1):
+                ids = [spread_sample(x) for x in encode.texts(part.column(1), end)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most SAMPLE_DOCS ids
     texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
@@ -115,6 +157,12 @@ def train_dictionary(docs: DataFrame, tokenizer_file: str, end: int) -> bytes:
         return (b"".join(samples) + end.to_bytes(4, "little") * 2)[-DICTIONARY_BYTES:]
 
 
+def encoded(batches: Iterator[pa.RecordBatch], encode: Encoder, end: int) -> Iterator[tuple[int | None, bytes]]:
+    for batch in batches:
+        for part in slices(batch, 1):
+            yield from zip(part.column(0).to_pylist(), encode.texts(part.column(1), end), strict=True)
+
+
 def write(docs: DataFrame, folder: str, tokenizer_file: str, end: int = 2, level: int = 3) -> DataFrame:
     """Write shards to ``folder``; returns their list: ``shard, path, docs, ids, base`` (ids of all shards before)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -125,22 +173,19 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end: int = 2, level
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = filesystem(folder)
-        gc.disable()  # the parts kept hold no cycles
-        encode, index, at = Encoder(tokenizer_file, end), [], len(MAGIC) + 32
+        encode, index, at = load(tokenizer_file), [], len(MAGIC) + 32
         packer = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(dictionary))
         shard = TaskContext.get().partitionId()
         name = f"{path}/{shard:06d}-{uuid.uuid4().hex}.ids"
         out = None
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if out is None:
-                    out = files.open_output_stream(name)
-                    out.write(MAGIC + hashlib.sha256(dictionary).digest())
-                ids = encode(text.as_py())
-                frame = packer.compress(ids)
-                out.write(frame)
-                index.append((doc_id or 0, doc_id is None, at, len(ids) // 4))
-                at += len(frame)
+        for doc_id, ids in encoded(batches, encode, end):
+            if out is None:
+                out = files.open_output_stream(name)
+                out.write(MAGIC + hashlib.sha256(dictionary).digest())
+            frame = packer.compress(ids)
+            out.write(frame)
+            index.append((doc_id or 0, doc_id is None, at, len(ids) // 4))
+            at += len(frame)
         if out is not None:
             table = np.array(index, INDEX)
             out.write(table.tobytes() + np.array([(at, len(table))], TAIL).tobytes() + MAGIC)

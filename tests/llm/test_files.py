@@ -8,11 +8,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from tokenizers import Tokenizer
 
-from groundshift.llm import tokenfile, warc
+from groundshift.llm import tokenfile, warc, wordpool
 from groundshift.llm.scratch import filesystem, new_folder
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,14 +23,33 @@ TEXTS = ["", "a", " a", "  a", "a  b", "a \n b\n\n c", "\x1c \x1cx y", "it's  'l
 @pytest.fixture(scope="module")
 def bpe():
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
 
 
 def test_parts_encode_like_the_whole(bpe):
-    encode = tokenfile.Encoder(BPE, 2)
-    for text in [*TEXTS, *TEXTS, "".join(TEXTS), None]:
-        assert encode(text) == np.array(bpe(text), "<u4").tobytes()
+    encode = tokenfile.Encoder(BPE)
+    end = "<|endoftext|>"
+    added = [end, end + end, f"a {end} b", f"a  {end}  b", f"{end}a", f"a{end}", f" {end}\n", "<|endof text|>", f"a {end[:-1]} b"]
+    spaces = [f"a {chr(c)} b{chr(c)}" for c in range(0x3100) if chr(c).isspace() or c < 0x20]
+    texts = [*TEXTS, *TEXTS, "".join(TEXTS), None, *added, *spaces]
+    for some in (texts, texts[::-1], ["only one"], []):
+        for text, ids in zip(some, encode.texts(pa.array(some, pa.string()), 2), strict=True):
+            assert ids == np.array(bpe(text), "<u4").tobytes(), repr(text)
+
+
+def test_small_pools_and_slices_change_nothing(bpe, monkeypatch):
+    monkeypatch.setattr(tokenfile, "PARTS", 3)
+    monkeypatch.setattr(tokenfile, "TOGETHER", 2)
+    monkeypatch.setattr(wordpool, "SLICE_BYTES", 8)
+    encode, batch = tokenfile.Encoder(BPE), pa.record_batch({"i": list(range(len(TEXTS))), "t": TEXTS})
+    for i, ids in tokenfile.encoded([batch, batch], encode, 2):
+        assert ids == np.array(bpe(TEXTS[i]), "<u4").tobytes()
+
+
+def test_dictionary_samples_come_from_the_whole_text():
+    ids = np.arange(100_000, dtype="<u4")
+    some = np.frombuffer(tokenfile.spread_sample(ids.tobytes()), "<u4")
+    assert len(some) <= tokenfile.SAMPLE_IDS and some[0] == 0 and some[-1] == 99_999
 
 
 def test_documents_come_back_in_order(spark, docs, bpe):

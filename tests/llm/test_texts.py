@@ -122,7 +122,8 @@ def test_classifier(spark, docs):
     assert held and sum((s >= 0.7) == i % 2 for i, s in held) >= 0.95 * len(held)
     texts = dict(rows)
     for i, s in scores[::40]:
-        found, shares = quality.text_features(texts[i])
+        found, counts = quality.text_features(texts[i])
+        shares = quality.shares(counts)
         assert s == pytest.approx(1 / (1 + np.exp(-(model.bias + float(shares.astype(float) @ model.weights[found])))), abs=1e-4)
     assert quality.score(docs(rows).limit(0), model, ["doc_id"]).count() == 0
     again = quality.train(docs(rows).repartition(7), labels.repartition(3))
