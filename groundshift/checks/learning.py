@@ -94,19 +94,21 @@ def rf_train_eval(spark, sf):
 def feature_importance(spark, sf):
     """Both eras' importances: a row per feature, falling, with sum 1."""
     rows = complete(spark, sf)
-    models, out = train_models(rows).models, []
+    models, parts = train_models(rows).models, []
     for era in m.ERAS:
-        values = m.feature_importance(models[era]).withColumn("place", F.monotonically_increasing_id())
-        ahead = F.lag("importance").over(Window.orderBy("place"))  # a row per feature
-        checked = values.withColumn("falls", F.coalesce(ahead >= F.col("importance"), F.lit(True)))
-        sums = checked.agg(
-            F.count_distinct("feature").alias("n_features"),
-            (F.abs(F.sum("importance") - 1) < 1e-9).alias("sum_is_one"),
-            F.bool_and("falls").alias("falls"),
-        )
-        n = balanced_split(rows, era).where("part = 'train'").agg(F.count("*").alias("n_train"))
-        out.append(sums.withColumn("era", F.lit(era)).join(n.withColumn("era", F.lit(era)), "era"))
-    return union_all(*out)
+        values = m.feature_importance(models[era])
+        ranked = [r["importance"] for r in values.collect()]  # a row per feature
+        falls = all(a >= b for a, b in zip(ranked, ranked[1:]))
+        parts.append(values.select(F.lit(era).alias("era"), "feature", "importance", F.lit(falls).alias("falls"), F.lit(0).alias("n")))
+        trained = balanced_split(rows, era).where("part = 'train'")
+        none = [F.lit(None).cast(k).alias(n) for n, k in (("feature", "string"), ("importance", "double"), ("falls", "boolean"))]
+        parts.append(trained.groupBy().agg(F.count("*").cast("int").alias("n")).select(F.lit(era).alias("era"), *none, "n"))
+    return union_all(*parts).groupBy("era").agg(
+        F.count("feature").alias("n_features"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sum_is_one"),
+        F.bool_and("falls").alias("falls"),
+        F.sum("n").alias("n_train"),
+    )
 
 
 def disagreeing(spark, sf):

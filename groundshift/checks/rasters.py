@@ -152,7 +152,7 @@ def clip_box(spark, sf):
         (F.col("lon_min") + 0.006).alias("lon_max"),
         (F.col("lat_max") - 0.0003).alias("lat_max"),
     )
-    return ras.clip_box(centres(spark, sf), inner).select(*c.PIXEL)
+    return ras.clip_pixels(view(spark, sf, "px").select(*c.PIXEL), inner, regions_df(spark))
 
 
 @query(f"""select point_id, g.city, yr, cast(floor((r.lat_max - lat) / {STEP}) as int) as px_row, cast(floor((lon - r.lon_min) / {STEP}) as int) as px_col

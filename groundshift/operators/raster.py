@@ -10,6 +10,7 @@ from groundshift.operators.quantiles import exact_percentiles
 from groundshift.operators.small import join_small, settle
 
 LINE_BLOCK = 65_536
+BOX = ["lon_min", "lat_min", "lon_max", "lat_max"]
 
 
 def flat_index(df: DataFrame, width) -> DataFrame:
@@ -215,6 +216,49 @@ def clip_box(df: DataFrame, boxes: DataFrame) -> DataFrame:
     return join_small(df, edges, "city").where(inside).select(*df.columns)
 
 
+#: Boxes that are written into a plan as constants.
+MAX_BOXES = 256
+
+
+def _cell_range(low: float, high: float, at) -> tuple[int, int]:
+    """First and last cell whose place ``at(cell)``, which grows with the cell, is between the bounds.
+
+    ``at`` computes as the plan would, so borders fall as they would there.
+    """
+    first, stop = -(1 << 31), (1 << 31) - 1
+
+    def least(bound, passed) -> int:
+        a, b = first, stop
+        while a < b:
+            mid = (a + b) // 2
+            a, b = (a, mid) if passed(at(mid), bound) else (mid + 1, b)
+        return a
+
+    return least(low, lambda x, y: x >= y), least(high, lambda x, y: x > y) - 1
+
+
+def clip_pixels(px: DataFrame, boxes: DataFrame, regions: DataFrame, step: float = c.STEP_DEGREES) -> DataFrame:
+    """Pixels whose centre lies in the box of their city, borders included; cities without a box drop out.
+
+    The grid transform is turned around: each box becomes a range of rows and
+    columns, and these constants reach the scan, where they choose folders (city)
+    and row groups, so a box of a raster is read without the raster. More than
+    ``MAX_BOXES`` boxes are joined as in ``clip_box``.
+    """
+    corner = regions.select("city", F.col("lon_min").alias("x0"), F.col("lat_max").alias("y1"))
+    known = boxes.join(corner, "city").dropna().select("city", "x0", "y1", *BOX).limit(MAX_BOXES + 1).collect()
+    if len(known) > MAX_BOXES:
+        return clip_box(pixel_centres(px, regions, step), boxes).select(*px.columns)
+    inside = F.lit(False)
+    for b in known:
+        c0, c1 = _cell_range(b.lon_min, b.lon_max, lambda k: b.x0 + (k + 0.5) * step)
+        r0, r1 = _cell_range(-b.lat_max, -b.lat_min, lambda k: -(b.y1 - (k + 0.5) * step))
+        inside = inside | (
+            (F.col("city") == b.city) & (F.col("px_row") >= r0) & (F.col("px_row") <= r1) & (F.col("px_col") >= c0) & (F.col("px_col") <= c1)
+        )
+    return px.where(inside)
+
+
 def percentile_bounds(px: DataFrame, bands: list[str], lo: float = 2, hi: float = 98) -> DataFrame:
     """Display bounds per raster: percentiles pooled over the bands."""
     pooled = px.select(*c.RASTER, F.explode(F.array(*bands)).alias("v"))

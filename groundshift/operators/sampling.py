@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from groundshift import config as c
 from groundshift.functions.radiometry import normalized_difference, present
-from groundshift.operators.small import join_small
+from groundshift.operators.small import join_small, may_have, sized
 from groundshift.sources.dims import lookup
 
 
@@ -134,9 +134,12 @@ def sample_n_per_class(cands: DataFrame, key: str = "point_id", quotas: dict = c
 def sample_points(px: DataFrame, points: DataFrame, bands: list[str] = c.BANDS) -> DataFrame:
     """Band values under each point; points on masked or absent pixels drop out.
 
-    Few points are broadcast, so that the rasters stay where they are.
+    Few points are broadcast, so that the rasters stay where they are. Of a raster
+    that meets many points only the pixels that may have one are shuffled.
     """
-    return join_small(px, points, c.PIXEL).dropna(subset=list(bands))
+    points, few = sized(points)
+    rasters = px if few else may_have(px, points, c.PIXEL)
+    return rasters.join(F.broadcast(points) if few else points, c.PIXEL).dropna(subset=list(bands))
 
 
 def balance_downsample(

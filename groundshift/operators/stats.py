@@ -13,16 +13,28 @@ from groundshift.operators.small import settle
 from groundshift.sources.dims import lookup
 
 
+#: Values of one histogram map.
+MAP_VALUES = 100_000
+
+
 def histogram(df: DataFrame, cols: list[str]) -> DataFrame:
     """Counts per value of several columns in one pass: ``property``, ``value``, ``n``."""
     pairs = F.explode(F.array(*[F.struct(F.lit(x).alias("property"), F.col(x).cast("string").alias("value")) for x in cols]))
     return df.select(pairs.alias("p")).groupBy("p.property", "p.value").agg(F.count("*").alias("n"))
 
 
-def histogram_map(df: DataFrame, col: str) -> DataFrame:
-    """One row with a map from value to count, for a column with few values."""
+def histogram_map(df: DataFrame, col: str, most: int = MAP_VALUES) -> DataFrame:
+    """Maps from value to count: one row, or one per range of hashes if there are over ``most`` distinct values.
+
+    The distinct values are counted first. A range holds about ``most`` of them,
+    so no map grows with the table; together the maps have every value once.
+    """
     counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("value")).agg(F.count("*").alias("n"))
-    return counts.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("value", "n")))).alias("histogram"))
+    maps = F.map_from_entries(F.sort_array(F.collect_list(F.struct("value", "n")))).alias("histogram")
+    parts = max(1, math.ceil(counts.count() / most))
+    if parts == 1:
+        return counts.agg(maps)
+    return counts.groupBy(F.pmod(F.xxhash64("value"), F.lit(parts)).alias("part")).agg(maps).select("histogram")
 
 
 def label_distribution(df: DataFrame, keys: list[str] = ("city", "yr", "label")) -> DataFrame:
@@ -104,12 +116,18 @@ def correlation_matrix(df: DataFrame, features: list[str] = c.FEATURES, key: str
     return wide.select(key, F.inline(F.array(*cells)))
 
 
+#: Grid points whose kernels one aggregate row sums.
+SLICE = 25
+
+
 def grouped_kde(df: DataFrame, group: str, value: str, points: int = 100) -> DataFrame:
     """Gaussian kernel density of each group on an even grid over its range.
 
-    Scott bandwidth ``n^(-1/5) * std``. All grid points are sums of one
-    aggregate, so a value makes no rows and only a row per group and task is
-    shuffled. A group with no spread has density 1 at its value.
+    Scott bandwidth ``n^(-1/5) * std``. Equal values are counted first and
+    weigh as often. The grid points are sums of one aggregate, ``SLICE`` of them
+    a row, so a distinct value makes a row for each slice only, a row per group,
+    slice and task is shuffled, and the aggregate stays in generated code. A group
+    with no spread has density 1 at its value.
     """
     vals = df.select(F.col(group), present(F.col(value).cast("double")).alias("v")).where(
         F.col(group).isNotNull() & F.col("v").isNotNull()
@@ -124,18 +142,22 @@ def grouped_kde(df: DataFrame, group: str, value: str, points: int = 100) -> Dat
         )
     )
     varies = F.col("lo") < F.col("hi")
-    scaled = vals.join(shape, group).select(
+    scaled = vals.groupBy(group, "v").agg(F.count("*").cast("double").alias("weight")).join(shape, group).select(
         group,
+        "weight",
         F.when(varies, (F.col("v") - F.col("lo")) / F.col("h")).otherwise(0.0).alias("u"),
         F.when(varies, (F.col("hi") - F.col("lo")) / float(points - 1) / F.col("h")).otherwise(0.0).alias("step"),
     )
+    slices = -(-points // SLICE)
+    scaled = scaled.withColumn("slice", F.explode(F.array(*[F.lit(i) for i in range(slices)])))
 
-    def kernel(point: int) -> Column:
-        z = F.col("step") * float(point) - F.col("u")
-        return F.sum(F.exp(z * z * -0.5))
+    def kernel(k: int) -> Column:
+        z = F.col("step") * (F.col("slice") * SLICE + k).cast("double") - F.col("u")
+        return F.sum(F.col("weight") * F.exp(z * z * -0.5))
 
-    wide = scaled.groupBy(group).agg(*[kernel(i).alias(f"k{i}") for i in range(points)])
-    sums = wide.select(group, F.posexplode(F.array(*[f"k{i}" for i in range(points)])).alias("point", "k"))
+    wide = scaled.groupBy(group, "slice").agg(*[kernel(k).alias(f"k{k}") for k in range(SLICE)])
+    sums = wide.select(group, "slice", F.posexplode(F.array(*[f"k{k}" for k in range(SLICE)])).alias("k_at", "k"))
+    sums = sums.select(group, (F.col("slice") * SLICE + F.col("k_at")).alias("point"), "k").where(F.col("point") < points)
     norm = F.when(varies, F.col("n") * F.col("h") * math.sqrt(2 * math.pi)).otherwise(F.col("n"))
     x = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / float(points - 1)
     return sums.join(shape, group).select(group, "point", x.alias("x"), (F.col("k") / norm).alias("density"), "n", "mean")

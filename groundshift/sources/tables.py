@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from groundshift import config as c
 from groundshift.config import DASHBOARD_COLUMNS, METRICS_SCHEMA, SAMPLE_COLUMNS, SAMPLE_SCHEMA  # noqa: F401
+from groundshift.operators.small import sized
 
 
 def read_samples_csv(spark: SparkSession, paths, schema: str | None = None) -> DataFrame:
@@ -24,31 +23,82 @@ def write_csv(df: DataFrame, path: str, selectors: list[str]) -> None:
 
 
 def read_samples_tolerant(spark: SparkSession, paths, required: list[str] = DASHBOARD_COLUMNS) -> DataFrame:
-    """The required columns, as text, of every file that has them all.
+    """The required columns, as text, of every sound file that has them all.
+
+    One pass gives every file a verdict (``audit``); unfit files leave whole. The
+    lines of the others are joined with their file's header and parsed by it, so
+    files of all layouts are read together and no list of files is kept anywhere.
+    Blank lines and repeats of the header are no rows; a row with fewer fields than
+    the header ends in missing ones.
+    """
+    lines = _lines(spark, paths)
+    good, small = sized(audit(spark, paths, required, lines).where("verdict = 'good'").select("path", "header", "width"))
+    width = good.agg(F.max("width")).first()[0]
+    empty = ", ".join(f"`{n}` string" for n in required)
+    if width is None:
+        return spark.createDataFrame([], empty)
+    schema = ", ".join(f"c{i} string" for i in range(width))
+
+    def fields(line: Column) -> Column:
+        return F.from_csv(line, F.lit(schema))
+
+    names = [f"c{i}" for i in range(width)]
+    at = good.withColumn("f", fields(F.col("header"))).withColumn("f", F.array(*[F.col(f"f.{n}") for n in names]))
+    at = at.select("path", "header", *[F.array_position("f", n).cast("int").alias(f"at{i}") for i, n in enumerate(required)])
+    rows = lines.where("line <> ''").join(F.broadcast(at) if small else at, "path").where("line <> header")
+    rows = rows.withColumn("f", fields(F.col("line"))).withColumn("f", F.array(*[F.col(f"f.{n}") for n in names]))
+    return rows.select(*[F.element_at("f", F.col(f"at{i}")).alias(n) for i, n in enumerate(required)])
+
+
+def _lines(spark: SparkSession, paths) -> DataFrame:
+    """``path, block, octets, valid, line``: what can be read of all files, line by line."""
+    text = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("lineSep", "\n").text(paths)
+    return text.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.octet_length("value").alias("octets"),
+        F.is_valid_utf8("value").alias("valid"),
+        F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"),
+    )
 
-    Files that cannot be read or lack a column are skipped. The first line of
-    each file is found in one pass; files with the same header are then read
-    together, so the number of reads grows with layouts, not with files.
+
+def audit(spark: SparkSession, paths, required: list[str], lines: DataFrame | None = None) -> DataFrame:
+    """``path, header, width, verdict`` of every file that can be opened.
+
+    ``header`` is the first line that is not blank; only the block of a file that
+    begins it is asked for it. Verdicts, the first that applies: ``damaged`` (bytes
+    that are no text, a quotation mark without its partner, so also a quoted line
+    break; a gzip file that gives fewer or more octets than its end says, as one
+    that is cut off or joined from several does), ``empty``, ``ragged`` (a row with
+    more fields than the header), ``columns`` (a required column is missing), ``good``.
     """
-    lines = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).text(paths)
-    first = (
-        lines.where("_metadata.file_block_start = 0")
-        .select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
-        .groupBy("path")
-        .agg(F.min_by("value", "at").alias("header"))
+    lines = _lines(spark, paths) if lines is None else lines
+    bare = F.regexp_replace("line", '"[^"]*"', "")
+    lines = lines.withColumn("bare", bare).withColumn("wide", F.length("bare") - F.length(F.replace("bare", F.lit(","))) + 1)
+    seen = lines.groupBy("path").agg(
+        F.first(F.when((F.col("block") == 0) & (F.col("line") != ""), F.col("line")), ignorenulls=True).alias("header"),
+        F.max(F.when(F.col("line") != "", F.col("wide"))).alias("widest"),
+        F.bool_or(~F.col("valid") | F.contains("bare", F.lit('"'))).alias("broken"),
+        F.sum("octets").alias("octets"),
+        F.count("*").alias("n"),
+    )
+    ends = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.hex(F.expr("substring(content, -4, 4)")).alias("tail")
+    )
+    swapped = F.concat(*[F.substring("tail", k, 2) for k in (7, 5, 3, 1)])
+    seen = seen.join(ends.select("path", F.conv(swapped, 16, 10).cast("bigint").alias("said")), "path", "left")
+    # every line but perhaps the last ends in a line break, which is no part of it
+    whole = F.col("said").isin(*[(F.col("octets") + F.col("n") - k) % (1 << 32) for k in (0, 1)])
+    width = F.length(F.regexp_replace("header", '"[^"]*"', "")) - F.length(F.replace(F.regexp_replace("header", '"[^"]*"', ""), F.lit(","))) + 1
+    have = F.split(F.regexp_replace("header", '"', ""), ",")
+    verdict = (
+        F.when(F.col("broken") | (F.col("said").isNotNull() & ~whole), "damaged")
+        .when(F.col("header").isNull(), "empty")
+        .when(F.col("widest") > width, "ragged")
+        .when(~F.forall(F.array(*map(F.lit, required)), lambda n: F.array_contains(have, n)), "columns")
+        .otherwise("good")
     )
-    layouts: dict[tuple, list[str]] = {}
-    for r in first.orderBy("path").toLocalIterator():
-        names = tuple(next(csv.reader([r["header"] or ""]), []))
-        if set(required) <= set(names) and len(set(names)) == len(names):
-            layouts.setdefault(names, []).append(r["path"])
-    out = spark.createDataFrame([], ", ".join(f"{n} string" for n in required))
-    for names, files in layouts.items():
-        schema = ", ".join(f"`{n}` string" for n in names)
-        reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-        part = reader.option("ignoreCorruptFiles", True).csv(files)
-        out = out.unionByName(part.select(*required))
-    return out
+    return seen.select("path", "header", width.cast("int").alias("width"), verdict.alias("verdict"))
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

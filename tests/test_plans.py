@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from groundshift import config as c
 from groundshift.operators.composite import assign_epoch
 from groundshift.operators import small
-from groundshift.operators.raster import overlay
+from groundshift.operators.raster import clip_box, clip_pixels, overlay, pixel_centres
 from groundshift.operators.sampling import sample_points
 from groundshift.plans.growth_report import growth_report
 from groundshift.session import scratch_path
+from groundshift.sources.dims import regions_df
 from groundshift.sources.raster import read_raster, write_raster, write_raster_table
 from groundshift.sources.tables import scan_scenes, write_scenes
 
@@ -57,6 +58,44 @@ def test_report_reads_only_the_class_column(spark, pixels):
     assert "ReadSchema: struct<urban_class:int>" in plan(growth_report(read_raster(spark, path)))
 
 
+def test_boxes_reach_the_scan_as_rows_and_columns(spark, pixels):
+    path = scratch_path(spark, "boxed")
+    grid = [[1] * 40 for _ in range(30)]
+    write_raster(pixels({("austin", 1990): grid, ("phoenix", 1990): grid}), path)
+    step, x0, y1 = c.STEP_DEGREES, c.REGIONS["austin"][0], c.REGIONS["austin"][3]
+    edge = lambda k: x0 + (k + 0.5) * step
+    # borders on the centres of columns 3 and 7, and of rows 2 and 4
+    row = ("austin", edge(3), y1 - 4.5 * step, edge(7), y1 - 2.5 * step)
+    boxes = spark.createDataFrame([row], "city string, lon_min double, lat_min double, lon_max double, lat_max double")
+    px = read_raster(spark, path)
+    out = clip_pixels(px, boxes, regions_df(spark))
+    text = plan(out)
+    # the list is cut off by the plan's printout
+    assert "PushedFilters: [IsNotNull(px_row), IsNotNull(px_col), GreaterThanOrEqual(px_row,2), LessThanOrEqual(px_row,4)" in text
+    assert re.search(r"px_col#\d+ >= 3\) AND \(px_col#\d+ <= 7", text)
+    assert re.search(r"PartitionFilters: \[[^]]*austin", text) and "Exchange" not in text
+    assert sorted({(r.px_row, r.px_col) for r in out.collect()}) == [(i, j) for i in (2, 3, 4) for j in range(3, 8)]
+    by_centre = clip_box(pixel_centres(px, regions_df(spark)), boxes).select(*px.columns)
+    assert by_centre.count() == out.count() and by_centre.exceptAll(out).isEmpty()
+    assert clip_pixels(px, boxes.limit(0), regions_df(spark)).isEmpty()
+
+
+def test_many_points_shuffle_only_pixels_that_may_have_one(spark):
+    """200,000 points: the large side is cut to about the pixels that match before its shuffle."""
+    px = spark.range(2_000_000).selectExpr("'a' as city", "1990 as yr", "cast(id / 2000 as int) as px_row", "cast(id % 2000 as int) as px_col", "1.0 as red")
+    pts = spark.range(200_000).selectExpr("id as point_id", "'a' as city", "1990 as yr", "cast(id / 400 as int) as px_row", "cast(5 * (id % 400) as int) as px_col")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = sample_points(px, pts, ["red"])
+        assert "BroadcastHashJoin" in plan(out) and "SortMergeJoin" in plan(out)
+        assert out.count() == 200_000
+        cut = small.may_have(px, pts, c.PIXEL)
+        assert 200_000 <= cut.count() <= 200_000 + 2_000_000 / 16
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_few_points_leave_the_rasters_in_place(spark, monkeypatch):
     px = spark.range(1000).selectExpr(
         "'a' as city", "1990 as yr", "cast(id / 40 as int) as px_row", "cast(id % 40 as int) as px_col", "id / 1000 as red"

@@ -8,7 +8,7 @@ from types import SimpleNamespace
 import pytest
 
 from groundshift.session import scratch_path, shared_dir
-from groundshift.sources.tables import METRICS_SCHEMA, read_metrics, read_samples_csv, read_samples_tolerant
+from groundshift.sources.tables import METRICS_SCHEMA, audit, read_metrics, read_samples_csv, read_samples_tolerant
 
 
 def test_tolerant_scan(spark, tmp_path):
@@ -31,6 +31,33 @@ def test_tolerant_scan(spark, tmp_path):
     assert none.isEmpty() and none.columns == ["year", "subclass", "red"]
 
 
+def test_unfit_files_leave_whole(spark, tmp_path):
+    body = "year,subclass,red\n" + "1990,urban,0.9\n" * 3000
+    files = {
+        "good.csv": body.encode(),
+        "good.csv.gz": gzip.compress(body.encode()),
+        "no_last_break.csv.gz": gzip.compress(body.encode()[:-1]),
+        "crlf.csv": b"\xef\xbb\xbf" + body.replace("\n", "\r\n").encode(),
+        "short_rows.csv": b"\nyear,subclass,red\n\n2000,water\n",
+        "ragged.csv": body.encode() + b"1990,urban,0.9,more\n",
+        "quoted_comma.csv": b'year,subclass,red\n2010,"a, b",0.1\n',
+        "cut.csv.gz": gzip.compress(body.encode())[:-12],
+        "cut_early.csv.gz": gzip.compress(os.urandom(50_000).hex().encode())[:20_000],
+        "latin.csv": body.encode() + b"1990,caf\xe9,0.9\n",
+        "open_quote.csv": body.encode() + b'1990,"urban,0.9\n',
+        "no_column.csv": b"year,red\n1990,0.9\n",
+        "blank.csv": b"\n\n",
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    verdicts = {os.path.basename(r.path): r.verdict for r in audit(spark, str(tmp_path), ["year", "subclass", "red"]).collect()}
+    bad = {"ragged.csv": "ragged", "cut.csv.gz": "damaged", "cut_early.csv.gz": "damaged", "latin.csv": "damaged", "open_quote.csv": "damaged", "no_column.csv": "columns", "blank.csv": "empty"}
+    assert {n: verdicts.get(n, "damaged") for n in files} == {n: bad.get(n, "good") for n in files}
+    out = [tuple(r) for r in read_samples_tolerant(spark, str(tmp_path), ["red", "year", "subclass"]).collect()]
+    assert sorted(set(out), key=str) == [("0.1", "2010", "a, b"), ("0.9", "1990", "urban"), (None, "2000", "water")]
+    assert len(out) == 4 * 3000 + 2
+
+
 def test_inferred_and_declared_types(spark, tmp_path):
     (tmp_path / "s.csv").write_text("red,label,city\n0.5,1,austin\n")
     path = str(tmp_path / "s.csv")

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -74,3 +75,26 @@ def test_subclasses(spark):
     prints = stats.spectral_fingerprint(df, ["red"]).where("subclass = 'water'").orderBy("yr").collect()
     assert [(r.yr, r.red) for r in prints] == [(1990, 0.1), (2000, None), (2010, None), (2020, None)]
     assert [r.red for r in stats.preview(df, 2, ["red"]).collect()] == [None, 0.1]
+
+
+def test_density_counts_equal_values_and_stays_in_generated_code(spark):
+    vs = [round(random.Random(3).gauss(0, 1), 1) for _ in range(500)] + [0.25] * 300
+    df = spark.createDataFrame([("g", v) for v in vs], "g string, v double")
+    out = stats.grouped_kde(df, "g", "v")
+    assert stats.SLICE <= 50
+    rows = sorted(out.collect(), key=lambda r: r.point)
+    assert len(rows) == 100
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert all(re.search(r"\*\(\d+\) HashAggregate", x) for x in final.splitlines() if "HashAggregate" in x)
+    h = np.std(vs, ddof=1) * len(vs) ** -0.2
+    for r in rows[::9]:
+        want = sum(math.exp(-((r.x - v) ** 2) / (2 * h * h)) for v in vs) / (len(vs) * h * math.sqrt(2 * math.pi))
+        assert r.density == pytest.approx(want)
+
+
+def test_histogram_maps_hold_every_value_once(spark):
+    df = spark.createDataFrame([(i % 700 if i % 9 else None,) for i in range(5000)], "a int")
+    (whole,) = stats.histogram_map(df, "a").collect()
+    parts = [r.histogram for r in stats.histogram_map(df, "a", most=100).collect()]
+    assert 5 <= len(parts) <= 7 and max(map(len, parts)) < 150
+    assert sum(map(len, parts)) == len(whole.histogram) and {k: v for p in parts for k, v in p.items()} == whole.histogram
