@@ -31,20 +31,34 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
 from groundshift.llm.memo import Memo
+from groundshift.llm.wordpool import Pool, coded, slices
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 _CHUNK = re.compile(" ( *[^ ]*)")
 
+#: Words kept by a worker; words segmented side by side, and the length from which they are not.
+WORDS, TOGETHER, LONG = 400_000, 2048, 24
+#: Base of the polynomial hashes by which pieces are found in words.
+BASE = np.uint64(0x9E3779B97F4A7C15)
+
 Path = tuple[bytes, float]
 Arc = tuple[int, bytes, float]
 NEVER = -math.inf
 
 
+def _hash(piece: str) -> int:
+    value = 0
+    for sign in piece:
+        value = (value * int(BASE) + ord(sign) + 1) % (1 << 64)
+    return value
+
+
 def forward(arcs: list[list[Arc]]) -> list[float]:
     """The best score of a path from node 0 to every node."""
     ahead = [0.0]
@@ -117,7 +131,14 @@ class Pieces:
                 self.text[i] = piece.replace(SPACE, " ").encode()
                 for k in range(1, len(piece)):
                     self.arcs.setdefault(piece[:k], ())
-        self.words = Memo(self._word, 300_000)
+        self.pool = Pool(self._learn, WORDS)
+        self.choices = Memo(lambda word: self.paths(word, self.nbest), 50_000)
+        by_size: dict[int, list[tuple[int, int, float]]] = {}
+        for piece, arc in self.arcs.items():
+            if arc:
+                by_size.setdefault(len(piece), []).append((_hash(piece), int.from_bytes(arc[0], "little"), arc[1]))
+        #: Of each length the pieces' hashes in order, their ids and scores.
+        self.tables = {n: [np.array(c, k) for c, k in zip(zip(*sorted(rows)), (np.uint64, np.int32, np.float64))] for n, rows in by_size.items()}
 
     def lattice(self, word: str) -> tuple[list[list[Arc]], list[float]]:
         """Arcs into every position of ``word``, in which spaces are U+2581 already, and its forward scores."""
@@ -157,31 +178,112 @@ class Pieces:
         found = self.paths(word, min(2, self.nbest))
         return (*found[0], found[0][1] - found[1][1] if len(found) > 1 else math.inf)
 
+    def viterbi(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """For words of one length: which have a piece for every character, and of these the
+        ids of the best segmentations, how many each has, their scores and losses.
+
+        Forward and backward scores of all words are computed side by side. The
+        second choice takes an arc that the best one does not, so its score is the
+        best sum of such an arc and the scores before and behind it.
+        """
+        size = len(words[0]) + 1
+        signs = np.frombuffer("".join([SPACE + w.replace(" ", SPACE) for w in words]).encode("utf-32-le"), "<u4").reshape(-1, size)
+        longest = min(size, max(self.tables, default=1))
+        scores = np.full((longest + 1, len(words), size), NEVER)
+        ids, hashes = np.zeros(scores.shape, np.int32), np.zeros(signs.shape, np.uint64)
+        for n in range(1, longest + 1):
+            hashes = hashes[:, : size - n + 1] * BASE + signs[:, n - 1 :] + np.uint64(1)
+            if n in self.tables:
+                known, label, score = self.tables[n]
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                scores[n, :, : size - n + 1] = np.where(hit, score[at], NEVER)
+                ids[n, :, : size - n + 1] = label[at]
+        whole = np.isfinite(scores[1]).all(axis=1)
+        scores, ids = scores[:, whole], ids[:, whole]
+        count = scores.shape[1]
+        ahead, behind, came = np.full((size + 1, count), NEVER), np.full((size + 1, count), NEVER), np.zeros((size + 1, count), np.int64)
+        ahead[0], behind[size] = 0.0, 0.0
+        for j in range(1, size + 1):
+            reach = range(min(longest, j), 0, -1)  # of equal scores the longest last piece counts
+            paths = np.stack([ahead[j - n] + scores[n, :, j - n] for n in reach])
+            pick = paths.argmax(axis=0)
+            ahead[j], came[j] = paths[pick, np.arange(count)], reach[0] - pick
+        for i in range(size - 1, -1, -1):
+            behind[i] = np.max([scores[n, :, i] + behind[i + n] for n in range(1, min(longest, size - i) + 1)], axis=0)
+        place, rows, steps = np.full(count, size), np.arange(count), []
+        for n in range(1, longest + 1):
+            scores[n, :, : size - n + 1] += (ahead[: size - n + 1] + behind[n:]).T
+        while (place > 0).any():
+            n = came[place, rows]
+            start = place - n
+            on = place > 0
+            steps.append(np.where(on, ids[n, rows, start], -1))
+            scores[n[on], rows[on], start[on]] = NEVER
+            place = start
+        others = scores[1:].max(axis=(0, 2), initial=NEVER)
+        best, taken = ahead[size], np.array(steps[::-1]).reshape(len(steps), count).T
+        losses = np.where(np.isfinite(others), np.maximum(best - np.where(np.isfinite(others), others, 0.0), 0.0), np.inf)
+        return whole, taken[taken >= 0].astype(np.uint32), (taken >= 0).sum(axis=1), best, losses
+
+    def _learn(self, words: list[str]) -> tuple[list[str], np.ndarray, ...]:
+        by_size: dict[int, list[str]] = {}
+        for word in words:
+            by_size.setdefault(len(word), []).append(word)
+        keys, parts, alone = [], [], []
+        for size, group in by_size.items():
+            if size >= LONG:
+                alone += group
+                continue
+            for at in range(0, len(group), TOGETHER):
+                some = group[at : at + TOGETHER]
+                whole, *found = self.viterbi(some)
+                keys += [w for w, k in zip(some, whole.tolist()) if k]
+                alone += [w for w, k in zip(some, whole.tolist()) if not k]
+                parts.append(found)
+        found = [self._word(w) for w in alone]
+        labels = [np.frombuffer(f[0], "<u4") for f in found]
+        parts.append([np.concatenate([np.zeros(0, np.uint32), *labels]), np.array(list(map(len, labels)), np.int64), *(np.array([f[k] for f in found], np.float64) for k in (1, 2))])
+        return keys + alone, *(np.concatenate(c) for c in zip(*parts))
+
+    def texts(self, texts: pa.Array) -> Iterator[list[Path]]:
+        """The N best segmentations of each text: ids and score, best first."""
+        texts = pc.fill_null(texts, "")
+        simple = ~pc.match_substring_regex(texts, "(?s)^$|^ |  |" + SPACE).to_numpy(zero_copy_only=False)
+        keys, codes, counts = coded(texts, simple, lambda t: _CHUNK.findall(" " + t.replace(SPACE, " ")) if t else [])
+        at = self.pool.places(keys)[codes] if keys else np.zeros(0, np.int64)
+        ids, sizes = self.pool.gathered(at) if keys else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        octets, upto = ids.astype("<u4", copy=False).tobytes(), np.concatenate([[0], np.cumsum(sizes)]) * 4
+        ends = np.cumsum(counts)
+        for a, b in zip((ends - counts).tolist(), ends.tolist()):
+            if a == b:
+                yield [(b"", 0.0)]
+                continue
+            best, score = octets[upto[a] : upto[b]], math.fsum(self.pool.numbers[1][at[a:b]].tolist())
+            if self.nbest == 1:
+                yield [(best, score)]
+                continue
+            losses = self.pool.numbers[2][at[a:b]]
+            few = min(self.nbest - 1, b - a)
+            cut = np.partition(losses, few - 1)[few - 1]
+            free = np.sort(np.concatenate([np.flatnonzero(losses < cut), np.flatnonzero(losses == cut)])[:few])
+            free = [int(i) for i in free if losses[i] < math.inf]
+            choices = [self.choices[keys[codes[a + i]]] for i in free]
+            chain: list[list[Arc]] = [[]]
+            for paths in choices:
+                chain.append([(len(chain) - 1, bytes([nth]), path[1] - paths[0][1]) for nth, path in enumerate(paths)])
+            out = []
+            for choice, loss in best_paths(chain, self.nbest):
+                pieces, done = [], upto[a]
+                for i, paths, nth in zip(free, choices, choice, strict=True):
+                    if nth:
+                        pieces += [octets[done : upto[a + i]], paths[nth][0]]
+                        done = upto[a + i + 1]
+                out.append((b"".join([*pieces, octets[done : upto[b]]]), score + loss))
+            yield out
+
     def segmentations(self, text: str) -> list[Path]:
-        """The N best segmentations of a text: ids and score, best first."""
-        if not text:
-            return [(b"", 0.0)]
-        line = " " + text.replace(SPACE, " ")
-        words = _CHUNK.findall(line) if "  " in line else line[1:].split(" ")
-        labels, scores, losses = map(list, zip(*map(self.words.__getitem__, words)))
-        score = math.fsum(scores)
-        if self.nbest == 1:
-            return [(b"".join(labels), score)]
-        losses = np.array(losses)
-        few = min(self.nbest - 1, len(words))
-        cut = np.partition(losses, few - 1)[few - 1]
-        free = np.sort(np.concatenate([np.flatnonzero(losses < cut), np.flatnonzero(losses == cut)])[:few])
-        free = [int(i) for i in free if losses[i] < math.inf]
-        choices = [self.paths(words[i], self.nbest) for i in free]
-        chain: list[list[Arc]] = [[]]
-        for k, paths in enumerate(choices):
-            chain.append([(k, bytes([nth]), path[1] - paths[0][1]) for nth, path in enumerate(paths)])
-        out = []
-        for choice, loss in best_paths(chain, self.nbest):
-            for i, paths, nth in zip(free, choices, choice, strict=True):
-                labels[i] = paths[nth][0]
-            out.append((b"".join(labels), score + loss))
-        return out
+        return next(self.texts(pa.array([text], pa.string())))
 
     def decode(self, ids: bytes) -> str:
         out = b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode()
@@ -195,8 +297,6 @@ def load(model_file: str, nbest: int) -> Pieces:
 
 
 SCHEMA = "doc_id long, n_pieces long, ids_crc32 long, score double, scores array<double>, crcs array<long>, decoded string"
-#: Rows written to Spark at once.
-ROWS = 512
 
 
 def encode(docs: DataFrame, model_file: str, nbest: int = 3, ids: bool = False) -> DataFrame:
@@ -205,8 +305,7 @@ def encode(docs: DataFrame, model_file: str, nbest: int = 3, ids: bool = False)
     With ``ids``, also the ids of the best segmentation as an array.
     """
 
-    def row(pieces: Pieces, doc_id: int | None, text: str | None) -> tuple:
-        found = pieces.segmentations(text or "")
+    def row(pieces: Pieces, doc_id: int | None, found: list[Path]) -> tuple:
         best, score = found[0]
         crcs = [zlib.crc32(b) for b, _ in found]
         out = (doc_id, len(best) // 4, crcs[0], score, [s for _, s in found], crcs, pieces.decode(best))
@@ -217,9 +316,8 @@ def encode(docs: DataFrame, model_file: str, nbest: int = 3, ids: bool = False)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.string(), pa.list_(pa.int32())]
         names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                rows = [row(pieces, d, t) for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)]
+            for part in slices(batch, 1):
+                rows = [row(pieces, d, found) for d, found in zip(part.column(0).to_pylist(), pieces.texts(part.column(1)), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds)], names)
 
     schema = SCHEMA + (", ids array<int>" if ids else "")

@@ -165,6 +165,19 @@ def test_best_paths_match_all_paths():
         alike(known.segmentations(text), slow_paths(known.lattice("▁" + text.replace(" ", "▁"))[0], 4))
 
 
+def test_words_side_by_side_are_segmented_like_one_by_one():
+    known, rng = pieces.Pieces(MODEL, 3), random.Random(8)
+    words = ["".join(rng.choices("aeiothnsré,.\n1 é中😀", k=rng.randrange(12))) for _ in range(3000)] + ["the", "", "mentêé", "x" * 40]
+    keys, ids, sizes, scores, losses = known._learn(words)
+    assert sorted(keys) == sorted(words)
+    ends = np.cumsum(sizes)
+    for i, word in enumerate(keys):
+        label, score, loss = known._word(word)
+        mine = ids[ends[i] - sizes[i] : ends[i]]
+        assert scores[i] == pytest.approx(score, abs=1e-9) and losses[i] == pytest.approx(loss, abs=1e-9)
+        assert mine.astype("<u4").tobytes() == label or loss < 1e-9
+
+
 def test_encode_and_decode(spark, docs):
     texts = ["", None, "plain words", " two  spaces ", "line\nbreak\t", "é中文 😀 \x00", "a▁b", "same", "same", "w " * 30_000, "x" * 3000]
     rows = list(enumerate(texts)) + [(None, "no id")]
