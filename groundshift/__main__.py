@@ -23,6 +23,7 @@ def parser() -> argparse.ArgumentParser:
         "training-set": ["composites", "candidates", "out"],
         "train": ["samples", "models"],
         "classify": ["composites", "models", "out"],
+        "overlay": ["composites", "classified", "out"],
         "metrics": ["classified", "out"],
         "report": ["metrics", "name"],
         "describe": ["samples", "name"],
@@ -57,6 +58,8 @@ def main(argv: list[str] | None = None) -> None:
             feature_importance(model).show()
     elif a.job == "classify":
         jobs.classify(spark, a.composites, a.models, a.out).orderBy("city", "yr").show()
+    elif a.job == "overlay":
+        jobs.overlay(spark, a.composites, a.classified, a.out).groupBy("city", "yr").count().orderBy("city", "yr").show()
     elif a.job == "report":
         REPORTS[a.name](jobs.stored_metrics(spark, a.metrics)).show(200, truncate=False)
     elif a.job == "describe":

@@ -90,3 +90,6 @@ OVERLAY_URBAN = (0.0, 1.0, 1.0, 0.10)
 RASTER = ["city", "yr"]
 PIXEL = ["city", "yr", "px_row", "px_col"]
 STEP_DEGREES = PIXEL_METRES / METRES_PER_DEGREE
+
+#: Buckets of raster tables; tables that are joined must have the same number.
+RASTER_BUCKETS = 256

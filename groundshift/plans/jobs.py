@@ -1,4 +1,8 @@
-"""The study end to end, from stored tables to stored tables."""
+"""The study end to end, from stored tables to stored tables.
+
+Rasters are named by folder or, if the name has no slash, by catalog table. Tables
+are bucketed by pixel, so jobs that join two of them do not shuffle either.
+"""
 
 from __future__ import annotations
 
@@ -11,11 +15,11 @@ from groundshift.operators.composite import build_composites, composite_jobs, gr
 from groundshift.operators.growth import active
 from groundshift.operators.model import ERAS, load_model, save_model, score_by_era
 from groundshift.operators.sampling import build_training_set, clean_samples, normalise_samples, with_row_key
-from groundshift.operators.raster import grid_sizes
+from groundshift.operators.raster import grid_sizes, overlay as tinted
 from groundshift.plans.growth_report import growth_report
 from groundshift.plans.training import Trained, train_models
 from groundshift.sources.dims import grid_df, regions_df
-from groundshift.sources.raster import read_raster, write_raster
+from groundshift.sources.raster import open_raster, save_raster
 from groundshift.sources.tables import (
     METRICS_SCHEMA,
     SAMPLE_COLUMNS,
@@ -45,8 +49,8 @@ def composites(
     rows = spark.read.parquet(obs)
     if scenes:
         rows = grid_observations(rows, spark.read.parquet(scenes), active(regions_df(spark), cities))
-    write_raster(build_composites(active(rows, cities), years), out)
-    return coverage(read_raster(spark, out), sizes=grid_sizes(regions_df(spark), years))
+    save_raster(build_composites(active(rows, cities), years), out)
+    return coverage(open_raster(spark, out), sizes=grid_sizes(regions_df(spark), years))
 
 
 def composite_status(
@@ -60,7 +64,7 @@ def composite_status(
 
 def training_set(spark: SparkSession, composite: str, candidates: str, out: str) -> DataFrame:
     """Sampled training rows as CSV; returns what was written."""
-    rows = build_training_set(read_raster(spark, composite), spark.read.parquet(candidates))
+    rows = build_training_set(open_raster(spark, composite), spark.read.parquet(candidates))
     write_csv(rows.withColumnRenamed("yr", "year"), out, SAMPLE_COLUMNS)
     return read_samples_csv(spark, out, SAMPLE_SCHEMA)
 
@@ -80,14 +84,21 @@ def train(spark: SparkSession, samples, models: str, city: str | None = None) ->
 def classify(spark: SparkSession, composite: str, models: str, out: str) -> DataFrame:
     """Class rasters, with the probability kept beside the class; returns the class counts."""
     loaded = {era: load_model(f"{models}/{MODEL_NAMES[era]}") for era in ERAS}
-    scored = classify_rasters(read_raster(spark, composite), lambda px: score_by_era(px, loaded))
-    write_raster(scored.select(*c.PIXEL, "urban_class", "urban_prob"), out)
-    return class_counts(read_raster(spark, out), grid_sizes(regions_df(spark)))
+    scored = classify_rasters(open_raster(spark, composite), lambda px: score_by_era(px, loaded))
+    save_raster(scored.select(*c.PIXEL, "urban_class", "urban_prob"), out)
+    return class_counts(open_raster(spark, out), grid_sizes(regions_df(spark)))
+
+
+def overlay(spark: SparkSession, composite: str, classified: str, out: str) -> DataFrame:
+    """Stretched pictures with urban pixels tinted; returns what was written."""
+    classes = open_raster(spark, classified).select(*c.PIXEL, "urban_class")
+    save_raster(tinted(open_raster(spark, composite), classes), out)
+    return open_raster(spark, out)
 
 
 def metrics(spark: SparkSession, classified: str, out: str) -> DataFrame:
-    """The growth table as CSV; returns it as read back, keyed by ``yr``."""
-    report = growth_report(read_raster(spark, classified)).withColumnRenamed("yr", "year")
+    """The growth table as one CSV file (a row per city and epoch); returns it as read back, keyed by ``yr``."""
+    report = growth_report(open_raster(spark, classified)).withColumnRenamed("yr", "year")
     write_csv(report.coalesce(1), out, [part.split()[0] for part in METRICS_SCHEMA.split(", ")])
     return stored_metrics(spark, out)
 

@@ -83,13 +83,30 @@ def write_raster(px: DataFrame, path: str, block: int = 256) -> None:
     px.repartition(*c.RASTER, lines).sortWithinPartitions(*c.PIXEL).write.partitionBy(*c.RASTER).mode("overwrite").parquet(path)
 
 
-def write_raster_table(px: DataFrame, name: str, buckets: int) -> None:
+def write_raster_table(px: DataFrame, name: str, buckets: int = c.RASTER_BUCKETS) -> None:
     """Pixel rows as a table bucketed by pixel: joins of two such tables by pixel
-    key need no shuffle."""
-    px.write.bucketBy(buckets, *c.PIXEL).sortBy(*c.PIXEL).mode("overwrite").saveAsTable(name)
+    key need no shuffle. The rows are dealt as the buckets are, one file for each."""
+    dealt = px.repartition(buckets, *c.PIXEL)
+    dealt.write.bucketBy(buckets, *c.PIXEL).sortBy(*c.PIXEL).mode("overwrite").saveAsTable(name)
 
 
 def read_raster(spark: SparkSession, path: str) -> DataFrame:
     px = spark.read.parquet(path)
     rest = [n for n in px.columns if n not in c.PIXEL]
     return px.select(*c.PIXEL, *rest)
+
+
+def is_table(where: str) -> bool:
+    """A name without a slash or scheme is a table of the catalog, anything else a folder."""
+    return "/" not in where and ":" not in where
+
+
+def save_raster(px: DataFrame, where: str) -> None:
+    write_raster_table(px, where) if is_table(where) else write_raster(px, where)
+
+
+def open_raster(spark: SparkSession, where: str) -> DataFrame:
+    if not is_table(where):
+        return read_raster(spark, where)
+    px = spark.table(where)
+    return px.select(*c.PIXEL, *[n for n in px.columns if n not in c.PIXEL])

@@ -1,6 +1,8 @@
 """The whole study on the smallest tables, stored table to stored table."""
 
 import math
+import re
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from groundshift import config as c
 from groundshift.checks.fixtures import view
 from groundshift.plans import jobs, reports
 from groundshift.session import scratch_path
+from groundshift.sources import raster
 from groundshift.sources.raster import read_raster
 
 SF = "/root/testdata/sf0.001"
@@ -62,12 +65,34 @@ def test_study_end_to_end(spark):
         assert describe(stored).count() > 0, name
 
 
+def test_rasters_as_tables_are_joined_where_they_lie(spark, monkeypatch):
+    monkeypatch.setattr(raster, "write_raster_table", partial(raster.write_raster_table, buckets=4))
+    obs, names = scratch_path(spark, "obs"), ("composites_t", "classes_t", "overlay_t")
+    view(spark, SF, "obs").write.parquet(obs)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cover = jobs.composites(spark, obs, names[0])
+        assert {r.n_total for r in cover.collect()} == GRID
+        px = spark.table(names[0])
+        raster.save_raster(px.select(*c.PIXEL, (F.col("px_row") % 2).alias("urban_class")), names[1])
+        joined = jobs.tinted(raster.open_raster(spark, names[0]), raster.open_raster(spark, names[1]))
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and not re.search(r"Exchange hashpartitioning\([^)]*px_row", text)
+        out = jobs.overlay(spark, *names)
+        assert out.count() == px.count() and out.where("over_a > 0").count() == px.where("px_row % 2 = 1").count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for name in names:
+            spark.sql(f"drop table if exists {name}")
+
+
 def jobs_window():
     from pyspark.sql import Window
 
     return Window.orderBy(*c.PIXEL)
 
 
-@pytest.mark.parametrize("line", ["composites a b --years 1990 --cities austin --scenes s", "train a b --city riverside", "metrics a b", "report m growth_table", "describe s means"])
+@pytest.mark.parametrize("line", ["composites a b --years 1990 --cities austin --scenes s", "train a b --city riverside", "metrics a b", "overlay a b c", "report m growth_table", "describe s means"])
 def test_command_line_is_understood(line):
     assert cli.parser().parse_args(line.split()).job == line.split()[0]
