@@ -37,6 +37,12 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.int64())], ["a", "b"])
 
 
+def _signature(links: DataFrame) -> tuple:
+    """The number of distinct links and two sums of their hashes, in one pass."""
+    sums = [F.sum(F.xxhash64("a", "b", F.lit(i)).cast("decimal(38,0)")) for i in (1, 2)]
+    return tuple(links.agg(F.count("*"), *sums).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links(a long, b long)``; root is the component's smallest node.
 
@@ -45,23 +51,25 @@ def components(links: DataFrame) -> DataFrame:
     changes: the number of rounds grows with the logarithm of the nodes. Links
     are reduced batch by batch before, so a dense component arrives as stars.
     Loops and repeated links do no harm; no links give no rows. The smallest
-    neighbour is a partial aggregate, and the join back splits hot nodes.
+    neighbour is a partial aggregate, written before the join back, so that
+    adaptive execution can split a hot node's partition.
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
     links = stored(links.mapInArrow(_stars, "a long, b long").distinct(), "links")
+    before = _signature(links)
     while True:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.where("a <> b").distinct(), "large-stars")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b")))
-        after = stored(small.distinct(), "small-stars")
-        # both tables hold distinct links
-        if after.count() == links.count() and after.join(links, ["a", "b"], "left_anti").isEmpty():
+        links = stored(small.distinct(), "small-stars")
+        after = _signature(links)
+        if after == before:
             break
-        links = after
-    return after.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-        after.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+        before = after
+    return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
