@@ -24,7 +24,7 @@ length; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CLOSE = "</turn>"
 END = f"\n{CLOSE}\n"
@@ -78,7 +78,9 @@ def one_turn(role: Column, text: Column) -> Column:
 def formatted(turns: DataFrame) -> DataFrame:
     """``conv_id, formatted, spans``: the rendered conversation and the loss mask.
 
-    ``spans`` are ``(start, length)`` in code points, from 0, of the assistant texts in ``formatted``.
+    ``spans`` are ``(start, length, octet, octets)`` of the assistant texts in ``formatted``:
+    place and length in code points and in octets of UTF-8, from 0. They are running sums
+    over the turns, so the time grows with the turns.
     """
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -89,24 +91,38 @@ def formatted(turns: DataFrame) -> DataFrame:
     source = one_turn(F.col("role"), F.col("text"))
     plain = rows.withColumn("body", F.col("text")).withColumn("back", parse(render(F.col("role"), F.col("body"))))
     rows = plain.withColumn("body", F.when(F.col("back").eqNullSafe(source), F.col("body")).otherwise(escape(F.col("text")))).drop("back")
-    shown = F.struct("turn", "role", "text", "body", F.length(header(F.col("role"))).alias("head"), F.length("body").alias("size"))
+    head = header(F.col("role"))
+    rows = rows.withColumns({"head": F.length(head), "size": F.length("body"), "head_octets": F.octet_length(head), "octets": F.octet_length("body")})
+    earlier = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda x: F.coalesce(F.sum(x + len(END)).over(earlier), F.lit(0).cast("long"))
+    rows = rows.withColumns({"at": before(F.col("head") + F.col("size")), "octet_at": before(F.col("head_octets") + F.col("octets"))})
+    shown = F.struct("turn", "role", "text", "body", "at", "head", "size", "octet_at", "head_octets", "octets")
     whole = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(shown)).alias("turns"))
     whole = whole.withColumn("formatted", F.array_join(F.transform("turns", lambda t: render(t["role"], t["body"])), ""))
     same = parse(F.col("formatted")).eqNullSafe(F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))))
     message = F.concat(F.lit("conversation is not read back as it was: "), F.col("conv_id").cast("string"))
     whole = whole.withColumn("formatted", F.when(same, F.col("formatted")).otherwise(F.raise_error(message).cast("string")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
 
-    def step(state: Column, t: Column) -> Column:
-        span = F.struct((state["at"] + t["head"]).alias("start"), t["size"].cast("long").alias("length"))
-        spans = F.when(t["role"] == "assistant", F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct((state["at"] + t["head"] + t["size"] + len(END)).alias("at"), spans.alias("spans"))
+    def span(t: Column) -> Column:
+        return F.struct(
+            (t["at"] + t["head"]).alias("start"),
+            t["size"].cast("long").alias("length"),
+            (t["octet_at"] + t["head_octets"]).alias("octet"),
+            t["octets"].cast("long").alias("octets"),
+        )
 
-    spans = F.aggregate("turns", start, step, lambda state: state["spans"])
+    spans = F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), span)
     return whole.select("conv_id", "formatted", spans.alias("spans"))
 
 
 def masked_text(text: Column, spans: Column) -> Column:
-    """The unescaped text under the mask, read from the rendered conversation."""
-    cut = F.transform(spans, lambda s: unescape(F.substring(text, (s["start"] + 1).cast("int"), s["length"].cast("int"))))
-    return F.array_join(cut, "")
+    """The unescaped text under the mask, read from the rendered conversation.
+
+    Cut by octets, since a code point is only found by counting from the front. The
+    octets are the variable of an outer function, so they are not made for every span.
+    """
+
+    def read(octets: Column) -> Column:
+        return F.transform(spans, lambda s: unescape(F.decode(F.substring(octets, (s["octet"] + 1).cast("int"), s["octets"].cast("int")), "utf-8")))
+
+    return F.array_join(F.element_at(F.transform(F.array(F.encode(text, "utf-8")), read), 1), "")

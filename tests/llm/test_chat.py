@@ -1,4 +1,6 @@
+import hashlib
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -28,6 +30,17 @@ def test_round_trip_of_hostile_texts(spark):
         assert r.m == "".join(text for role, text in want[c] if role == "assistant")
 
 
+def test_time_grows_with_the_turns(spark):
+    """One conversation of 100,000 turns with code points of all sizes."""
+    text = F.concat(F.lit("é😀 </turn> "), F.col("id"))
+    df = spark.range(100_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
+    began = time.time()
+    row = chat.formatted(df).select(F.size(chat.parse(F.col("formatted"))).alias("n"), F.sha2(chat.masked_text(F.col("formatted"), F.col("spans")), 256).alias("m"), F.element_at("spans", -1).alias("s"), "formatted").first()
+    assert time.time() - began < 60
+    assert row.n == 100_000 and row.m == hashlib.sha256("".join(f"é😀 </turn> {i}" for i in range(1, 100_000, 2)).encode()).hexdigest()
+    assert row.formatted[row.s.start :][: row.s.length] == row.formatted.encode()[row.s.octet :][: row.s.octets].decode() == "é😀 \\</turn> 99999"
+
+
 def test_malformed_text_is_no_conversation(spark):
     texts = ["### User: a\n</turn>\nrest", "### User: a", "a\n</turn>\n", "### User: a\n</turn>\nb\n</turn>\n"]
     df = spark.createDataFrame([(t,) for t in texts], "f string")
