@@ -11,9 +11,9 @@ All counts are by language; a null language is ``und``.
    fingerprint once, with its count and a pointer to one occurrence; occurrences
    whose words differ from the pointer's are entries of their own.
 3. The shuffle adds the counts by fingerprint. Where the sum reaches ``least``, the
-   pointers go back to their blocks, which read the words and hand on phrase and
-   count; the final counts are by text, so fingerprints that collide do no harm.
-   Only these phrases are ever written as text.
+   pointers go back to their blocks, which read the words and hand on phrases and
+   counts, packed by bucket; the final counts are by text, so fingerprints that
+   collide do no harm. Only phrases found frequent then become rows.
 4. Phrases of three and four words are counted where all their pairs of words have
    frequent fingerprints, which every frequent phrase fulfils.
 
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import gc
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,8 @@ from groundshift.llm.spread import spread_join
 #: Words of a block, and words of the table for each bucket of fingerprints.
 BLOCK_WORDS, BUCKET_WORDS = 2_000_000, 4_000_000
 LONGEST = 4
+#: Parts of a language that are ranked by themselves first.
+PARTS = 64
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Breaks become line ends, tabs become spaces, capitals become small letters.
 MARKED = bytes(10 if b in BREAKS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -148,6 +151,10 @@ class Block:
         return [b" ".join([self.words[i] for i in run]) for run in runs]
 
 
+def bucket_of(fingerprints: np.ndarray, buckets: int) -> np.ndarray:
+    return ((fingerprints >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
 SENT = "bucket long, block long, words int, fingerprints binary, counts binary, places binary"
 
 
@@ -156,7 +163,7 @@ def sent(block: int, data: Block, runs: list[tuple[int, np.ndarray]], buckets: i
     rows = []
     for n, starts in runs:
         for found, count, place in data.entries(n, starts):
-            bucket = ((found >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)  # found is sorted
+            bucket = bucket_of(found, buckets)  # found is sorted
             for some in np.split(np.arange(len(found)), np.flatnonzero(np.diff(bucket)) + 1):
                 rows.append((int(bucket[some[0]]), block, n, found[some].tobytes(), count[some].astype(np.int32).tobytes(), place[some].astype(np.int32).tobytes()))
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
@@ -227,21 +234,33 @@ def counts(held: DataFrame, least: int) -> DataFrame:
         return sent(block, data, runs, buckets)
 
     def written(left: pa.Table, right: pa.Table) -> pa.Table:
-        langs, phrases, lengths, found = [], [], [], []
+        rows = []
         if left.num_rows:
             _, lang, data = opened(left)
             for n, places, count in replies(right):
-                phrases += data.text(n, places)
-                lengths += [n] * len(places)
-                found += count.tolist()
-            langs = [lang] * len(phrases)
-        return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.binary()).cast(pa.string()), "words": pa.array(lengths, pa.int32()), "n": pa.array(found, pa.int64())})
+                found = data.fingerprints(n, places.astype(np.int64))
+                order = np.argsort(found)
+                places, count, bucket = places[order], count[order], bucket_of(found[order], buckets)
+                for some in np.split(np.arange(len(found)), np.flatnonzero(np.diff(bucket)) + 1):
+                    rows.append((int(bucket[some[0]]), lang, n, b"\n".join(data.text(n, places[some])), count[some].tobytes()))
+        kinds = [pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)], ["bucket", "lang", "words", "phrases", "counts"])
+
+    def added(table: pa.Table) -> pa.Table:
+        sums: dict[tuple, Counter] = {}
+        for _, lang, n, text, found in zip(*(c.to_pylist() for c in table.columns)):
+            held = sums.setdefault((lang, n), Counter())
+            for phrase, count in zip(text.split(b"\n"), np.frombuffer(found, np.int32).tolist(), strict=True):
+                held[phrase] += count
+        rows = [(lang, phrase, n, f) for (lang, n), held in sums.items() for phrase, f in held.items() if f >= least]
+        lang, phrase, n, f = zip(*rows) if rows else [[]] * 4
+        return pa.table({"lang": pa.array(lang, pa.string()), "phrase": pa.array(phrase, pa.binary()).cast(pa.string()), "words": pa.array(n, pa.int32()), "f": pa.array(f, pa.int64())})
 
     one = stored(frequent(held.mapInArrow(short, SENT), least), "short-phrases")
     two = frequent(held.groupBy("block").cogroup(one.where("words = 2").groupBy("block")).applyInArrow(long, SENT), least)
     both = stored(one.unionByName(two), "frequent-runs")
-    text = held.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(written, "lang string, phrase string, words int, n long")
-    return stored(text.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "phrase-counts")
+    text = held.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(written, "bucket long, lang string, words int, phrases binary, counts binary")
+    return stored(text.groupBy("bucket").applyInArrow(added, "lang string, phrase string, words int, f long"), "phrase-counts")
 
 
 def scored(grams: DataFrame) -> DataFrame:
@@ -274,6 +293,9 @@ def collocations(docs: DataFrame, least: int = 30, share: int = 80, top: int = 2
     held = blocks(docs)
     totals = held.groupBy("lang").agg(F.sum("n").alias("n"))
     found = without_parts(stored(scored(counts(held, least)), "scored-phrases"), share)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # the first of parts of a language come before the first of all, so that its task gets PARTS * top rows at most
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    found = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang", part).orderBy(*best))).where(F.col("rank") <= top)
+    found = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).where(F.col("rank") <= top)
     return found.join(totals, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
