@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import os
 import re
 import uuid
 import zlib
@@ -90,13 +91,13 @@ class Encoder:
             if len(starts) == len(some):
                 keys += some
                 found.append(ids)
-                sizes += np.diff(starts, append=len(ids)).tolist()
+                sizes.append(np.diff(starts, append=len(ids)))
             else:
                 alone += some
-        for part in alone:
-            found.append(self._ids(part[0] if type(part) is tuple else " " + part))
-            sizes.append(len(found[-1]))
-        return keys + alone, np.concatenate(found), np.array(sizes, np.int64)
+        texts = [part[0] if type(part) is tuple else " " + part for part in alone]
+        ids = [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+        return keys + alone, np.concatenate(found + ids), np.concatenate(sizes)
 
     def texts(self, texts: pa.Array, end: int) -> Iterator[bytes]:
         """The ids of each text and the end id."""
@@ -122,6 +123,7 @@ class Encoder:
 def load(tokenizer_file: str) -> Encoder:
     """The encoder, kept by the worker from task to task."""
     gc.disable()  # the parts kept hold no cycles
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel ones
     return Encoder(tokenizer_file)
 
 

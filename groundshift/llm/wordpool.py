@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Octets of text handled at once, or one text.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 
 
 def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
@@ -51,8 +52,9 @@ class Pool:
     """Ids and numbers of keys, learned when they are first met and held in arrays.
 
     ``learn(keys)`` gives the keys in an order of its own, their ids one after the
-    other, how many each has, and any further numbers of each. Before more than ``limit`` keys are held the pool
-    starts again, so places are good until the next call only.
+    other, how many each has, and any further numbers of each. Before more than
+    ``limit`` keys are held those asked for once only go, so places are good until the
+    next call.
     """
 
     def __init__(self, learn: Callable[[list], tuple[np.ndarray, ...]], limit: int):
@@ -61,23 +63,44 @@ class Pool:
 
     def _clear(self) -> None:
         self.at: dict = {}
-        self.ids, self.numbers = np.zeros(0, np.uint32), None
+        self.ids, self.numbers, self.asked = np.zeros(0, np.uint32), None, np.zeros(0, np.int64)
+
+    def _evict(self) -> None:
+        """Keep the keys that several calls have asked for, the most asked for if these are many."""
+        keep = np.flatnonzero(self.asked > 1)
+        if len(keep) > self.limit // 2:
+            keep = np.sort(np.argsort(-self.asked, kind="stable")[: self.limit // 2])
+        if not len(keep):
+            self._clear()
+            return
+        names = list(self.at)
+        self.ids, _ = self.gathered(keep)
+        self.numbers, self.asked = [x[keep] for x in self.numbers], (self.asked[keep] + 1) // 2
+        self.starts = np.cumsum(self.numbers[0]) - self.numbers[0]
+        self.at = {names[i]: k for k, i in enumerate(keep.tolist())}
 
     def places(self, keys: list) -> np.ndarray:
-        found = list(map(self.at.get, keys))
-        if None in found:
-            new = list(dict.fromkeys(k for k, f in zip(keys, found) if f is None))
+        found = self._found(keys)
+        if (missing := np.flatnonzero(found < 0)).size:
+            new = list(dict.fromkeys([keys[i] for i in missing.tolist()]))
             if self.at and len(self.at) + len(new) > self.limit:
-                self._clear()
-                new = list(dict.fromkeys(keys))
+                self._evict()
+                found = self._found(keys)
+                missing = np.flatnonzero(found < 0)
+                new = list(dict.fromkeys([keys[i] for i in missing.tolist()]))
             new, ids, sizes, *more = self.learn(new)
             numbers = [np.asarray(x) for x in (sizes, *more)]
             self.numbers = numbers if self.numbers is None else [np.concatenate(x) for x in zip(self.numbers, numbers)]
             self.ids = np.concatenate([self.ids, ids])
             self.starts = np.cumsum(self.numbers[0]) - self.numbers[0]
             self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
-            found = list(map(self.at.__getitem__, keys))
-        return np.array(found, np.int64)
+            self.asked = np.concatenate([self.asked, np.zeros(len(new), np.int64)])
+            found[missing] = [self.at[keys[i]] for i in missing.tolist()]
+        self.asked[found] += 1
+        return found
+
+    def _found(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.at.get, keys, repeat(-1)), np.int64, len(keys))
 
     def gathered(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the keys at ``places`` one after the other, and the number of each."""
