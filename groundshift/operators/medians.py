@@ -57,9 +57,10 @@ def _middle(cols: list[str], low: Column, high: Column) -> list[Column]:
 
 
 def _ranked(rows: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
-    # all that follows is partitioned by the keys, so nothing is shuffled again
-    stacked = _stacked(rows.repartition(*keys), cols, keys)
-    stack = Window.partitionBy(*keys, "_col")
+    # all that follows is partitioned by the keys, so nothing is shuffled again; their hash, put first, makes sorting cheap
+    dealt = rows.repartition(*keys).withColumn("_key", F.xxhash64(*keys))
+    stacked = _stacked(dealt, cols, ["_key", *keys])
+    stack = Window.partitionBy("_key", *keys, "_col")
     placed = stacked.withColumn("_rank", F.row_number().over(stack.orderBy(F.col("_v").asc_nulls_last())))
     placed = placed.withColumn("_n", F.count("_v").over(stack))
     low, high = F.col("_rank") == F.floor((F.col("_n") + 1) / 2), F.col("_rank") == F.floor(F.col("_n") / 2) + 1
