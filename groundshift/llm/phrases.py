@@ -41,7 +41,7 @@ from groundshift.llm.scratch import stored
 from groundshift.llm.spread import spread_join
 
 #: Words of a block, and words of the table for each bucket of fingerprints.
-BLOCK_WORDS, BUCKET_WORDS = 2_000_000, 4_000_000
+BLOCK_WORDS, BUCKET_WORDS = 2_000_000, 2_000_000
 LONGEST = 4
 #: Parts of a language that are ranked by themselves first.
 PARTS = 64
