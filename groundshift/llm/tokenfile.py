@@ -49,7 +49,7 @@ TAIL = np.dtype([("at", "<u8"), ("docs", "<u8")])
 #: Documents that the dictionary is trained on, ids taken of each (from all over it), and its size.
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 2000, 4096, 64 << 10
 #: Parts kept by a worker, and those encoded in one call.
-PARTS, TOGETHER = 600_000, 4096
+PARTS, TOGETHER = 900_000, 4096
 _BOUNDARY = re.compile(r" (?=\S)")
 #: A space before white space (as Python's ``\\s`` has it) or the end, in the syntax of Arrow.
 SOME_SPACE = "(?s) ($|[\\s\x0b\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])"
