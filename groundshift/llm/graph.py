@@ -4,37 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from groundshift.llm.scratch import stored
 
+#: As many links (16 octets each) are left to one task; more go in rounds.
+BLOCK = 1_000_000
 
-def forest(pairs: Iterator[tuple[int, int]]) -> dict[int, int]:
-    """Every node of the pairs with the smallest node of its component."""
-    parent: dict[int, int] = {}
 
-    def root(x: int) -> int:
-        top = x
-        while (up := parent.setdefault(top, top)) != top:
-            top = up
-        while parent[x] != top:
-            parent[x], x = top, parent[x]
-        return top
-
-    for a, b in pairs:
-        a, b = root(a), root(b)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-    return {x: root(x) for x in parent}
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node of the links once, and the smallest node of its component."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    root = np.arange(len(names))
+    while len(a):
+        x, y = root[a], root[b]
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root != (up := root[root])).any():
+            root = up
+    return names, names[root]
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of one batch at a time, reduced to links with the smallest node of each of its components."""
     for batch in batches:
-        found = forest(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-        found = {a: b for a, b in found.items() if a != b}
-        yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.int64())], ["a", "b"])
+        a, b = forest(*(c.to_numpy() for c in batch.columns))
+        yield pa.RecordBatch.from_arrays([pa.array(a[a != b], pa.int64()), pa.array(b[a != b], pa.int64())], ["a", "b"])
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every node of all links of a task with its root."""
+    held = [[c.to_numpy() for c in batch.columns] for batch in batches]
+    if held:
+        node, root = forest(*(np.concatenate(c) for c in zip(*held)))
+        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(root, pa.int64())], ["node", "root"])
 
 
 def _signature(links: DataFrame) -> tuple:
@@ -49,13 +56,16 @@ def components(links: DataFrame) -> DataFrame:
     Rounds of two steps, in which every node first hands its larger neighbours
     and then its smaller ones to the smallest node it knows, until nothing
     changes: the number of rounds grows with the logarithm of the nodes. Links
-    are reduced batch by batch before, so a dense component arrives as stars.
+    are reduced batch by batch before, so a dense component arrives as stars;
+    if no more than ``BLOCK`` are left then, a single task does without rounds.
     Loops and repeated links do no harm; no links give no rows. The smallest
     neighbour is a partial aggregate, written before the join back, so that
     adaptive execution can split a hot node's partition.
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    links = stored(links.mapInArrow(_stars, "a long, b long").distinct(), "links")
+    links = stored(links.mapInArrow(_stars, "a long, b long"), "links")
+    if links.count() <= BLOCK:
+        return stored(links.repartition(1).mapInArrow(_whole, "node long, root long"), "components")
     before = _signature(links)
     while True:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

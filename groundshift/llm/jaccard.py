@@ -17,9 +17,9 @@ ties by hashes of their own.
    Tokens of a ``HEAVY``-th of a bounded sample of texts are not counted, since one
    bucket would get them all: they come last in every order, which any consistent
    order may do, and go to their texts at once.
-2. Gatherings. Texts and their prefix tokens are the two sides of a graph; its
-   components are cut again under every further order, so two texts that link
-   stay together under all of them and no pairs are written.
+2. Gatherings. Every text is linked with the first of the texts that have one of
+   its prefix tokens under the first order; in the components two texts that link
+   stay together, and no pairs are written.
 3. In a gathering every two texts not yet connected are filtered pair by pair, by
    size and by the prefixes under all orders, and what passes is verified exactly.
    A gathering too large for one task is cut into parts: each is compared whole
@@ -48,7 +48,7 @@ from groundshift.llm.scratch import stored
 from groundshift.llm.spread import spread_join
 
 #: Tokens sent to the buckets at once, and octets of text whose tokens share a bucket.
-BLOCK, BUCKET_BYTES = 1_000_000, 12 << 20
+BLOCK, BUCKET_BYTES = 500_000, 12 << 20
 #: Sampled texts, the share of them (one in) that makes a token heavy, and what counts as its frequency.
 SAMPLE, HEAVY, HEAVY_COUNT = 4096, 64, 1 << 40
 ORDERS = 3
@@ -73,7 +73,7 @@ def tokens_of(text: str | None, shingle: int, hashes: dict[bytes, int]) -> np.nd
 
 
 def word_hashes() -> Memo:
-    return Memo(xxhash.xxh64_intdigest, 300_000)
+    return Memo(xxhash.xxh64_intdigest, 150_000)
 
 
 def nodes_of(docs: DataFrame) -> DataFrame:
@@ -185,9 +185,12 @@ def counted(sent: DataFrame, buckets: int) -> DataFrame:
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])  # a node may come from several blocks
         node, token = node[new], token[new]
-        _, at, n = np.unique(token, return_inverse=True, return_counts=True) if len(token) else (0, np.zeros(0, int), np.zeros(0, int))
-        live = n[at] > 1
-        node, token, n = node[live], token[live], n[at][live].astype(np.int64)
+        first = np.ones(len(token), bool)
+        first[1:] = token[1:] != token[:-1]
+        n = np.diff(np.append(np.flatnonzero(first), len(token)))
+        n = np.repeat(n, n)
+        live = n > 1
+        node, token, n = node[live], token[live], n[live].astype(np.int64)
         others = table.filter(pc.not_equal(table.column("role"), 0))
         return pa.concat_tables([others, pa.Table.from_batches([posting_batch(list(packed(2, bucket_of(node, buckets), node, token, n)))])])
 
@@ -242,14 +245,14 @@ def prefixes(back: DataFrame, least: int) -> DataFrame:
 
 
 def gatherings(live: DataFrame) -> DataFrame:
-    """``node, root``: nodes that a chain of shared prefix tokens connects under every order."""
-    held = live.select("node", F.lit(0).cast("long").alias("root"), *[f"prefix{k}" for k in range(ORDERS)])
-    for k in range(ORDERS):
-        shared = held.select("node", "root", F.explode(f"prefix{k}").alias("token"))
-        found = components(shared.select(F.col("node").alias("a"), F.xxhash64("root", "token").alias("b")))
-        found = found.withColumnRenamed("root", "next")
-        held = held.join(found, "node").drop("root").withColumnRenamed("next", "root")
-    return stored(held.select("node", "root"), "gatherings")
+    """``node, root``: nodes that a chain of shared prefix tokens connects under the first order.
+
+    The further orders would hardly cut them (of 1,999 nodes to 1,994), but they filter the pairs within.
+    """
+    shared = live.select("node", F.explode("prefix0").alias("token"))
+    first = shared.groupBy("token").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last").drop("last")
+    pairs = shared.join(stored(first, "first-nodes"), "token").select(F.col("node").alias("a"), "b")
+    return components(pairs.where("a <> b").distinct())
 
 
 def alike(sets: list[np.ndarray], firsts: list[list[np.ndarray]], sizes: np.ndarray, sides: np.ndarray, label: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -322,8 +325,8 @@ def dealt(parts: Column) -> Column:
     return F.pmod(F.xxhash64("node", F.lit("part")), parts).cast("int")
 
 
-def links(live: DataFrame, gathered: DataFrame, least: int) -> DataFrame:
-    """``a, b``: enough links between nodes of each gathering to connect all that link."""
+def linked(live: DataFrame, gathered: DataFrame, least: int) -> DataFrame:
+    """``node, root`` for every node that links with another: the components of all links in the gatherings."""
     rows = live.join(gathered, "node").withColumn("cluster", F.col("node"))
     size = F.size("tokens").cast("long")
     sums = rows.groupBy("root").agg(F.count("*").alias("n"), F.sum(size).alias("held")).where("n > 1")
@@ -337,10 +340,11 @@ def links(live: DataFrame, gathered: DataFrame, least: int) -> DataFrame:
     hubs = rows.join(hubs.where(F.col("place") <= HUBS).select("node"), "node", "left_semi")
     hubs = hubs.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("at <> part").withColumn("part", F.col("at")).drop("at")
     first = rows.unionByName(hubs).withColumn("meeting", F.xxhash64("root", "part")).withColumn("side", F.lit(0))
-    found = stored(verified(first, least), "jaccard-links")
+    # written first, so that a task holds one Python worker
+    found = components(stored(verified(first, least), "jaccard-links"))
     if large.isEmpty():
         return found
-    clusters = large.select("root", "node", size.alias("held")).join(components(found).withColumnRenamed("root", "cluster"), "node", "left")
+    clusters = large.select("root", "node", size.alias("held")).join(found.withColumnRenamed("root", "cluster"), "node", "left")
     clusters = stored(clusters.withColumn("cluster", F.coalesce("cluster", "node")), "clusters")
     counts = clusters.groupBy("root", "cluster").agg(F.count("*").alias("n"), F.sum("held").alias("held"))
     sums = counts.groupBy("root").agg(F.max(F.struct("n", "held", "cluster")).alias("major"), F.sum("n").alias("n"), F.sum("held").alias("held"))
@@ -357,7 +361,8 @@ def links(live: DataFrame, gathered: DataFrame, least: int) -> DataFrame:
     left = left.withColumn("part", mine).withColumn("with", F.explode(met))
     meeting = F.xxhash64("root", F.least("part", "with"), F.greatest("part", "with"))
     left = left.select("node", "cluster", meeting.alias("meeting"), (F.col("part") > F.col("with")).cast("int").alias("side"))
-    return found.union(verified(left.join(rows.drop("cluster", "root", "part", "parts"), "node"), least))
+    more = verified(left.join(rows.drop("cluster", "root", "part", "parts"), "node"), least)
+    return components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(stored(more, "jaccard-links")))
 
 
 def classes(docs: DataFrame, least: int = 80, shingle: int = 5) -> DataFrame:
@@ -373,7 +378,7 @@ def classes(docs: DataFrame, least: int = 80, shingle: int = 5) -> DataFrame:
     sent = postings(rows, buckets, heavy_tokens(rows, shingle), shingle)
     nodes = stored(prefixes(counted(sent, buckets), least), "jaccard-nodes")
     live = nodes.where(F.col("tokens").isNotNull())
-    found = components(links(live, gatherings(live), least))
+    found = linked(live, gatherings(live), least)
     ids = stored(rows.groupBy("node").agg(F.min("doc_id").alias("smallest")), "node-ids")
     found = ids.join(found, "node", "left").select("node", "smallest", F.coalesce("root", "node").alias("root"))
     roots = found.groupBy("root").agg(F.min("smallest").alias("component_id"))

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from groundshift.llm import jaccard
+from groundshift.llm import graph, jaccard
 
 WORDS = [f"w{i}" for i in range(4000)]
 
@@ -115,3 +115,38 @@ def test_linked_sets_share_a_prefix_token_under_every_order():
                 p = len(s) - int(jaccard.least_shared(np.array([len(s)]), 80)[0]) + 1
                 first.append(set(s[jaccard.ordered(s, np.array([count[t] for t in s.tolist()]), k)[:p]].tolist()))
             assert first[0] & first[1]
+
+
+@pytest.fixture
+def tables(monkeypatch):
+    """The names of the tables that a run writes on its way."""
+    names = []
+    for module in (graph, jaccard):
+        monkeypatch.setattr(module, "stored", lambda df, name, write=module.stored: names.append(name) or write(df, name))
+    return names
+
+
+def near_copies(rng, parts):
+    """A long chain, a dense group, and a group some of whose texts only their neighbours link with."""
+    base, rows = rng.choices(WORDS, k=120), []
+    for i in range(3 * parts):
+        base = edited(rng, base, 1)
+        rows.append(" ".join(base))
+    rows += [" ".join(edited(rng, base, 2)) for _ in range(2 * parts)]
+    return [(i, text) for i, text in enumerate(rows)]
+
+
+def test_few_links_take_no_rounds(docs, monkeypatch, tables):
+    """However long the chains, a run of few links writes a fixed number of tables."""
+    monkeypatch.setattr(jaccard, "PART", 16)
+    rows = near_copies(random.Random(8), 16)
+    assert found(docs, rows) == plain(rows)
+    assert len(tables) <= 18 and not {"least", "large-stars", "small-stars"} & set(tables)
+
+
+def test_many_links_go_in_rounds(docs, monkeypatch, tables):
+    monkeypatch.setattr(jaccard, "PART", 16)
+    monkeypatch.setattr(graph, "BLOCK", 20)
+    rows = near_copies(random.Random(8), 16)
+    assert found(docs, rows) == plain(rows)
+    assert "small-stars" in tables

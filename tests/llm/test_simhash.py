@@ -85,6 +85,18 @@ def test_components_of_chains_and_stars(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch):
+    rng = random.Random(3)
+    pairs = [(rng.randrange(-90, 90), rng.randrange(-90, 90)) for _ in range(70)] * 2 + [(-(1 << 63), (1 << 63) - 1)]
+    nodes = sorted({x for p in pairs for x in p if p[0] != p[1]})
+    linked = {(a, b) for a, b in pairs} | {(b, a) for a, b in pairs}
+    want = {x: nodes[r] for x, r in zip(nodes, slow_classes(nodes, lambda i, j: (nodes[i], nodes[j]) in linked))}
+    for block in (graph.BLOCK, 10):
+        monkeypatch.setattr(graph, "BLOCK", block)
+        got = graph.components(spark.createDataFrame(pairs, "a long, b long").repartition(5)).collect()
+        assert sorted(map(tuple, got)) == sorted(want.items())
+
+
 def test_classes_of_odd_rows(docs, same_rows):
     long = " ".join(f"w{i % 5000}" for i in range(60_000))
     rows = [(5, None), (9, ""), (2, " "), (3, "A b c d"), (8, "a B c\td"), (8, "a B c\td"), (None, "a b c d"), (11, long), (10, long + " end"), (12, "other words here")]
