@@ -26,7 +26,7 @@ import math
 import re
 import zlib
 from bisect import insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -43,7 +43,9 @@ MODEL = "piece_bpe_32k.model"
 _CHUNK = re.compile(" ( *[^ ]*)")
 
 #: Words kept by a worker; words segmented side by side, and the length from which they are not.
-WORDS, TOGETHER, LONG = 400_000, 2048, 24
+WORDS, TOGETHER, LONG = 300_000, 2048, 24
+#: Octets of text handled at once, or one text: what is held beside the words grows with them.
+SLICE = 1 << 20
 #: Base of the polynomial hashes by which pieces are found in words.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -297,6 +299,22 @@ def load(model_file: str, nbest: int) -> Pieces:
 
 
 SCHEMA = "doc_id long, n_pieces long, ids_crc32 long, score double, scores array<double>, crcs array<long>, decoded string"
+KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.string(), pa.list_(pa.int32())]
+
+
+def encoded(batches: Iterable[pa.RecordBatch], pieces: Pieces, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Ids and texts as the columns ``names``, a slice at a time; the ids of the best segmentation if there are eight."""
+
+    def row(doc_id: int | None, found: list[Path]) -> tuple:
+        best, score = found[0]
+        crcs = [zlib.crc32(b) for b, _ in found]
+        out = (doc_id, len(best) // 4, crcs[0], score, [s for _, s in found], crcs, pieces.decode(best))
+        return (*out, np.frombuffer(best, "<u4").astype(np.int32)) if len(names) == len(KINDS) else out
+
+    for batch in batches:
+        for part in slices(batch, 1, SLICE):
+            rows = [row(d, found) for d, found in zip(part.column(0).to_pylist(), pieces.texts(part.column(1)), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), KINDS)], names)
 
 
 def encode(docs: DataFrame, model_file: str, nbest: int = 3, ids: bool = False) -> DataFrame:
@@ -305,20 +323,8 @@ def encode(docs: DataFrame, model_file: str, nbest: int = 3, ids: bool = False)
     With ``ids``, also the ids of the best segmentation as an array.
     """
 
-    def row(pieces: Pieces, doc_id: int | None, found: list[Path]) -> tuple:
-        best, score = found[0]
-        crcs = [zlib.crc32(b) for b, _ in found]
-        out = (doc_id, len(best) // 4, crcs[0], score, [s for _, s in found], crcs, pieces.decode(best))
-        return (*out, np.frombuffer(best, "<u4").astype(np.int32)) if ids else out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(model_file, nbest)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.string(), pa.list_(pa.int32())]
-        names = [c.split()[0] for c in schema.split(", ")]
-        for batch in batches:
-            for part in slices(batch, 1):
-                rows = [row(pieces, d, found) for d, found in zip(part.column(0).to_pylist(), pieces.texts(part.column(1)), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds)], names)
+        yield from encoded(batches, load(model_file, nbest), [c.split()[0] for c in schema.split(", ")])
 
     schema = SCHEMA + (", ids array<int>" if ids else "")
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

@@ -13,12 +13,13 @@ import pyarrow.compute as pc
 SLICE_BYTES = 8 << 20
 
 
-def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of at most ``SLICE_BYTES`` of text, or of one row."""
+def slices(batch: pa.RecordBatch, text: int, octets: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``octets`` (``SLICE_BYTES``) of text, or of one row."""
+    octets = octets or SLICE_BYTES
     upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < batch.num_rows:
-        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SLICE_BYTES, "right")))
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + octets, "right")))
         yield batch.slice(at, stop - at)
         at = stop
 

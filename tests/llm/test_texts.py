@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +191,18 @@ def test_encode_and_decode(spark, docs):
         assert r.scores == sorted(r.scores, reverse=True) and r.score == r.scores[0]
     assert (out[7].ids, out[7].score) == (out[8].ids, out[8].score)
     assert pieces.encode(docs(rows).limit(0), MODEL).count() == 0
+
+
+def test_pieces_hold_little_beside_a_batch():
+    """Memory while a batch of 8 MB of text is begun: it goes with the slice, not with the batch."""
+    known, rng = pieces.Pieces(MODEL, 3), random.Random(6)
+    vocabulary = ["".join(rng.choices("aeiothnsr", k=6)) for _ in range(500)]
+    text = " ".join(rng.choices(vocabulary, k=300))
+    batch = pa.record_batch({"doc_id": range(4000), "text": [text] * 4000})
+    names = [c.split()[0] for c in pieces.SCHEMA.split(", ")] + ["ids"]
+    tracemalloc.start()
+    try:
+        first = next(pieces.encoded([batch], known, names))
+        assert 0 < first.num_rows < 4000 and tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
